@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, license_scan, packing, simhash, token_store, url_filter
+from . import decontaminate, exact_dedup, language_id, license_scan, packing, simhash, suffix_dedup, token_store, url_filter
 
 #: Listed hosts and starts of paths. Fixed values.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -34,6 +34,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, F.octet_length("text"), F.col("source"), packing.cluster_of(F.col("text"))).withColumnRenamed("key", "doc_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")))
+
+
 def held_out(key: str = "doc_id"):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4)) == 2
 
@@ -62,7 +66,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_store, op2_simhash, op3_packing, op5_language, op6_decontaminate, op7_licenses, op8_exact_dedup, op10_url_filter)
+    f.__name__: f for f in (op1_token_store, op2_simhash, op3_packing, op4_suffix_dedup, op5_language, op6_decontaminate, op7_licenses, op8_exact_dedup, op10_url_filter)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
