@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, license_scan, packing, simhash, suffix_dedup, token_store, url_filter
+from . import decontaminate, exact_dedup, language_id, license_scan, packing, passages, simhash, suffix_dedup, token_store, url_filter
 
 #: Listed hosts and starts of paths. Fixed values.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -60,13 +60,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest=True).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id").withColumnRenamed("other", "other_doc_id")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), listed)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_store, op2_simhash, op3_packing, op4_suffix_dedup, op5_language, op6_decontaminate, op7_licenses, op8_exact_dedup, op10_url_filter)
+    f.__name__: f for f in (op1_token_store, op2_simhash, op3_packing, op4_suffix_dedup, op5_language, op6_decontaminate, op7_licenses, op8_exact_dedup, op9_passages, op10_url_filter)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -27,6 +27,7 @@ import uuid
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -42,7 +43,7 @@ MAGIC = b"QTOK0001"
 #: Bits per key in each level of the hash.
 GAMMA = 2.0
 #: Pieces of text that an encoder keeps the ids of; those that come later are encoded again each time.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 800_000
 _PAIR = re.compile(r"\s\s")
 MANIFEST = "shard long, file string, lowest long, highest long, has_null boolean, n_docs long, n_tokens long"
 
@@ -149,6 +150,12 @@ class Encoder:
         return out, sizes
 
 
+@lru_cache(1)
+def _encoder(path: str, end_id: int) -> Encoder:
+    """One encoder a Python worker, whatever the number of its tasks: what it has learned stays."""
+    return Encoder(path, end_id)
+
+
 # ------------------------------------------------------------------ the minimal perfect hash
 
 
@@ -381,5 +388,5 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("salt"))
     rows = rows.repartitionByRange(F.col("k").asc_nulls_first(), "salt").sortWithinPartitions(F.col("k").asc_nulls_first(), "salt", "t").select("k", "t")
-    manifest = stash(rows.mapInArrow(_write_shards(folder, lambda: Encoder(tokenizer, end_id)), MANIFEST), "tokens-manifest")
+    manifest = stash(rows.mapInArrow(_write_shards(folder, lambda: _encoder(tokenizer, end_id)), MANIFEST), "tokens-manifest")
     return TokenStore(spark, folder, manifest)
