@@ -1,10 +1,253 @@
-"""The catalogue of queries, and the SQL that each is held against."""
+"""The catalogue of queries, and the SQL that each is held against.
+
+Tables stand in for books: a document or a conversation is a book, its lines or turns are blocks, lineitem gives page
+labels and geometry, pages.html gives markup. ``both`` registers a query whose SQL both engines read alike; the others
+are column expressions of this package, held against SQL of their own.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import layout, text
+from ..operators import sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(oracle: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE_SQL[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def both(name: str, sql: str, tables: str, spark_only: dict[str, str] | None = None) -> None:
+    """sql has table names in braces; ``spark_only`` replaces words of one dialect by those of the other."""
+    names = tables.split()
+    for_spark = sql
+    for a, b in (spark_only or {}).items():
+        for_spark = for_spark.replace(a, b)
+    QUERIES[name] = lambda spark, sf_dir: spark.sql(for_spark, **{t: read(spark, sf_dir, t) for t in names})
+    ORACLE_SQL[name] = sql.format(**{t: t for t in names})
+
+
+# ------------------------------------------------------------------ scalar functions
+
+
+@query("""select doc_id, case when k + l + h = 0 then 'und' when k >= 5 or k / (k + l + h) > 0.01 then 'ja' when l / (k + l + h) > 0.6 then 'en' else 'und' end as language
+    from (select doc_id, len(regexp_extract_all(text, '[\\x{3040}-\\x{30ff}]')) k, len(regexp_extract_all(text, '[a-zA-Z]')) l, len(regexp_extract_all(text, '[\\x{4e00}-\\x{9fff}]')) h from documents)""")
+def language_infer(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", text.language(F.col("text")).alias("language"))
+
+
+@query("""select page_id, case when s = '' then 'item' else s end as slug from (select page_id, regexp_replace(left(regexp_replace(regexp_replace(lower(t), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 30), '-+$', '') s
+    from (select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) t from pages))""")
+def slug_titles(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", text.slug(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("slug"))
+
+
+@query("""select doc_id, cast(length(t) as bigint) as n_chars, sha256(t) as joined_sha256 from (select doc_id, trim(regexp_replace(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9))), lambda x: x <> ''), ' '), '[ \\t]+', ' ', 'g')) t from documents)""")
+def text_join_docs(spark, sf_dir):
+    joined = text.join_prose(F.split("text", "\n"))
+    return read(spark, sf_dir, "documents").select("doc_id", joined.alias("t")).select("doc_id", F.length("t").cast("bigint").alias("n_chars"), F.sha2("t", 256).alias("joined_sha256"))
+
+
+_LABELS = "case p_partkey % 6 when 0 then 'p. ' || p_size when 1 then p_size || ' ページ' when 2 then '- ' || p_size || ' -' when 3 then 'xiv' when 4 then 'x' || p_size else '' end"
+
+
+@query(f"""select p_partkey, case when d <> '' then d when r <> '' then r end as label, cast(case when d <> '' then cast(d as integer) when r = 'xiv' then 14 end as integer) as value,
+    case when d <> '' then 'decimal' when r <> '' then 'roman' else 'unknown' end as kind
+    from (select p_partkey, regexp_extract(c, '^(?i:p(?:age|\\.)?)?\\s*([0-9]+)(?:\\s*(?:ページ|p|pp))?$', 1) d, regexp_extract(c, '^([ivxlcdm]+)$', 1) r from (select p_partkey, trim({_LABELS}, '- ') c from part))""")
+def label_candidates(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.page_label(F.expr(_LABELS)).alias("x")).select("p_partkey", "x.label", "x.value", "x.kind")
+
+
+@query("""select p_partkey, cast(n as integer) as value from (select p_partkey, case p_size % 4 when 0 then 'iv' when 1 then 'MCMXC' when 2 then 'iiii' else 'abc' end r, case p_size % 4 when 0 then 4 when 1 then 1990 when 2 then 4 end n from part)""")
+def roman_numeral(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.roman(F.expr("case p_size % 4 when 0 then 'iv' when 1 then 'MCMXC' when 2 then 'iiii' else 'abc' end")).alias("value"))
+
+
+_HEAD = "case doc_id % 5 when 0 then 'Chapter 12 ' when 1 then '3.1.2 ' when 2 then 'ch. 7 ' when 3 then '第 十 章 ' else '' end || left(text, 20)"
+
+
+@query(f"select doc_id, cast(case when regexp_matches(t, '^(?i:chapter\\s+\\d+|ch\\.\\s*\\d+)|^第\\s*[0-9一二三四五六七八九十百千]+\\s*章|^\\d+(\\.\\d+)*\\s') then 1 end as integer) as level from (select doc_id, {_HEAD} t from documents)")
+def heading_level(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", text.heading_level(F.expr(_HEAD)).alias("level"))
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey, round(r, 4) as width_ratio, case when r <= 0.36 then 'small' when r <= 0.72 then 'medium' else 'large' end as size_class,
+    case when abs(d) <= 0.07 then 'center' when d < 0 then 'left' else 'right' end as alignment
+    from (select *, l_quantity / 60 as r, ((l_discount * 100 + l_discount * 100 + l_quantity) / 2 - 60 / 2.0::double) / 60 as d from lineitem)""")
+def layout_hint(spark, sf_dir):
+    x0 = F.col("l_discount") * 100
+    hint = layout.layout_hint(F.lit(0.0), F.col("l_quantity"), F.lit(60.0))
+    place = layout.layout_hint(x0, x0 + F.col("l_quantity"), F.lit(60.0))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", hint["width_ratio"].alias("width_ratio"), hint["size_class"].alias("size_class"), place["alignment"].alias("alignment"))
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, r as aspect_ratio, r < 0.35 or r > 2.0 as extreme from (select *, round(l_quantity / (l_linenumber * 10), 4) r from lineitem)")
+def aspect_flags(spark, sf_dir):
+    ratio = layout.aspect(F.col("l_quantity"), F.col("l_linenumber") * 10)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", ratio.alias("aspect_ratio"), layout.is_extreme(ratio).alias("extreme"))
+
+
+_NAMES = "case c_custkey % 3 when 0 then 'page' || c_custkey || '.jpg' when 1 then 'Page0' || c_custkey || '.JPG' else c_custkey || '.jpg' end"
+
+
+@query(f"""select c_custkey, row_number() over (partition by c_nationkey order by case when c_custkey % 3 = 2 then 0 else 1 end, c_custkey, length(case c_custkey % 3 when 1 then '0' || c_custkey else '' || c_custkey end), name) as place
+    from (select c_custkey, c_nationkey, {_NAMES} name from customer)""")
+def natural_sort(spark, sf_dir):
+    rows = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.expr(_NAMES).alias("name"))
+    return rows.withColumn("k", text.natural_key(F.col("name"))).selectExpr("c_custkey", "cast(row_number() over (partition by c_nationkey order by k, name) as bigint) as place")
+
+
+_TEX = "case p_partkey % 5 when 0 then '$$ x_' || p_size || ' $$' when 1 then '$x^2$' when 2 then '\\\\[ y \\\\]' when 3 then '\\\\( z \\\\)' else ' w ' end"
+
+
+@query("select p_partkey, case p_partkey % 5 when 0 then 'x_' || p_size when 1 then 'x^2' when 2 then 'y' when 3 then 'z' else 'w' end as latex from part")
+def latex_normalize(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.latex(F.expr(_TEX)).alias("latex"))
+
+
+@query("select p_partkey, '--token=*** --name ' || p_name || ' password=***' as command from part")
+def redact(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.redact(F.expr("'--token=' || p_size || 'abc --name ' || p_name || ' password:' || p_brand")).alias("command"))
+
+
+@query("select p_partkey, case p_partkey % 4 when 0 then 'image/jpeg' when 1 then 'image/png' when 2 then 'image/tiff' end as media_type from part")
+def mime_lookup(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.media_type(F.expr("'a/b.' || case p_partkey % 4 when 0 then 'JPG' when 1 then 'png' when 2 then 'tif' else 'gif' end")).alias("media_type"))
+
+
+@query("select p_partkey, 'images/' || p_size || '.png' as path from part")
+def path_normalize(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", text.normal_path(F.expr("'text/./sub/../../images/x/../' || p_size || '.png'")).alias("path"))
+
+
+@query("select doc_id, replace(replace(replace(left(text, 200) || '<&>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') as escaped from documents")
+def xml_escape(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", text.escape(F.expr("left(text, 200) || '<&>'")).alias("escaped"))
+
+
+@query("select page_id, 'language-' || regexp_replace(lower(split_part(url, '/', 3)), '[^a-z0-9_+-]', '', 'g') as code_class from pages")
+def code_class(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", text.code_class(F.split_part("url", F.lit("/"), F.lit(3))).alias("code_class"))
+
+
+# ------------------------------------------------------------------ windows over the order of blocks
+
+_LINES = "(select l_orderkey as book, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as i, l_linenumber as v, case when l_linenumber % 2 = 0 then 'decimal' else 'roman' end as kind from {lineitem})"
+
+
+@query("""select book, i, v, kind, case when bad then null else cast(v as varchar) end as checked_label, case when bad then 0.2 else 1.0 end::double as confidence from (select *,
+    coalesce(v - lag(v) over w <= 0 or v - lag(v) over w > i - lag(i) over w + 5, false) or coalesce(lead(v) over w - v <= 0 or lead(v) over w - v > lead(i) over w - i + 5, false) as bad
+    from %s window w as (partition by book, kind order by i))""" % _LINES.format(lineitem="lineitem"))
+def page_label_validate(spark, sf_dir):
+    rows = spark.sql("select book, cast(i as bigint) i, v, kind, cast(v as string) label from " + _LINES, lineitem=read(spark, sf_dir, "lineitem"))
+    return sequence.validate_labels(rows, "book", "i", "label", "v", "kind").drop("label")
+
+
+_TURNS = "select conv_id, turn, role, text, case when role = 'user' then 1 + turn % 3 end as level from conversations"
+
+
+@query(f"""select conv_id, turn, level, case level when 2 then max(case when level < 2 then turn end) over w when 3 then max(case when level < 3 then turn end) over w end as parent_seq
+    from ({_TURNS}) where level is not null window w as (partition by conv_id order by turn rows between unbounded preceding and 1 preceding)""")
+def toc_parent(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "case when role = 'user' then 1 + turn % 3 end as level").where("level is not null")
+    return sequence.contents_parent(rows, "conv_id", "turn", "level")
+
+
+@query(f"select conv_id, turn, level, coalesce(level, 1) - coalesce(lag(coalesce(level, 1)) over (partition by conv_id order by turn), 1) > 1 as jump from ({_TURNS})")
+def heading_jumps(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "case when role = 'user' then 1 + turn % 3 end as level")
+    return sequence.heading_jumps(rows, "conv_id", "turn", "level")
+
+
+@query("""select conv_id, turn, cast(sum(h) over w + case when b and coalesce(lead(h) over w, 0) = 1 then 1 else 0 end as bigint) as chapter
+    from (select conv_id, turn, case when role = 'user' then 1 else 0 end h, role <> 'user' and length(text) < 80 b from conversations) window w as (partition by conv_id order by turn)""")
+def chapter_segments(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations")
+    return sequence.chapters(rows, "conv_id", "turn", F.col("role") == "user", (F.col("role") != "user") & (F.length("text") < 80)).selectExpr("conv_id", "turn", "cast(chapter as bigint) as chapter")
+
+
+#: Characters in a part of the flagship query.
+PART = 1000
+
+
+@query(f"""select source, count(*) as documents, cast(sum(parts) as bigint) as parts, cast(max(parts) as bigint) as most_parts, cast(sum(n) as bigint) as chars from (select source, n, list_reduce(s, lambda a, b: case when a.r + b.r > {PART} then {{'p': a.p + 1, 'r': b.r}} else {{'p': a.p, 'r': a.r + b.r}} end).p as parts
+    from (select source, length(replace(text, chr(10), '')) n, list_transform(string_split(text, chr(10)), lambda x: {{'p': 1, 'r': length(x)}}) s from documents)) group by source""")
+def greedy_split(spark, sf_dir):
+    sizes = F.transform(F.split("text", "\n"), lambda x: F.length(x).cast("bigint"))
+    rows = read(spark, sf_dir, "documents").select("source", sequence.greedy_parts(sizes, PART).alias("p"))
+    rows = rows.select("source", F.size("p").alias("parts"), F.aggregate("p", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("n"))
+    return rows.groupBy("source").agg(F.count("*").alias("documents"), F.sum("parts").alias("parts"), F.max("parts").cast("bigint").alias("most_parts"), F.sum("n").alias("chars"))
+
+
+both("block_ids", "select source, doc_id, 'blk-' || lpad(cast(row_number() over (partition by source order by doc_id) as varchar), 5, '0') as block_id from {documents}", "documents", {"varchar": "string"})
+both("heading_sequence", "select conv_id, turn, row_number() over (partition by conv_id order by turn) as seq from {conversations} where role = 'user'", "conversations", {"row_number() over (partition by conv_id order by turn)": "cast(row_number() over (partition by conv_id order by turn) as bigint)"})
+both("first_heading", "select conv_id, min_by(text, turn) as title from {conversations} where role = 'user' and trim(text) <> '' group by conv_id", "conversations")
+both("part_numbers", "select conv_id, turn, 'part-' || lpad(cast(dense_rank() over (partition by conv_id order by turn - turn % 2) as varchar), 4, '0') as part from {conversations}", "conversations", {"varchar": "string"})
+both("pagebreak_ids", "select page_id, base || case when n = 1 then '' else '-' || cast(n as varchar) end as id from (select page_id, base, row_number() over (partition by base order by page_id) n from (select page_id, 'page-' || cast(page_id % 50 as varchar) base from {pages}))", "pages", {"varchar": "string"})
+both("page_breaks_merge", """select book, i, v, coalesce(not (v % 2 = 1 and pv % 2 = 0), true) as has_break from (select *, lag(v) over (partition by book order by i) as pv from """ + _LINES + ")", "lineitem")
+
+# ------------------------------------------------------------------ aggregates
+
+both("dup_pages", "select count(*) as pages, cast(count(*) - count(distinct sha256(text)) as bigint) as duplicates from {documents}", "documents", {"sha256(text)": "sha2(text, 256)"})
+both("asset_dedup", "select 'asset-' || left(sha, 16) as asset_id, sha, min(doc_id) as first_doc, min_by(source, doc_id) as role, count(*) as uses from (select doc_id, source, sha256(text) as sha from {documents}) group by sha", "documents", {"sha256(text)": "sha2(text, 256)"})
+both("first_occurrence", "select doc_id, first_value(doc_id) over (partition by sha order by doc_id) as first_doc from (select doc_id, sha256(text) as sha from {documents})", "documents", {"sha256(text)": "sha2(text, 256)"})
+both("cache_key", "select source, sha256(string_agg(sha, ',' order by doc_id)) as cache_key from (select doc_id, source, sha256(text) as sha from {documents}) group by source", "documents", {"sha256(string_agg(sha, ',' order by doc_id))": "sha2(listagg(sha, ',') within group (order by doc_id), 256)", "sha256(text)": "sha2(text, 256)"})
+both("page_size_hist", "select cast(cast(l_quantity as bigint) as varchar) || 'x' || cast(l_linenumber * 10 as varchar) as size, count(*) as n from {lineitem} group by 1", "lineitem", {"varchar": "string"})
+both("block_type_hist", "select role as type, count(*) as n from {conversations} group by role", "conversations")
+both("span_hist", "select tag, count(*) as n from (select unnest(regexp_extract_all(html, '<([a-z0-9]+)', 1)) as tag from {pages}) group by tag", "pages", {"unnest(": "explode("})
+both("discarded_hist", "select source, count(*) filter (where n_chars < 100) as discarded, count(*) as n from {documents} group by source", "documents")
+both("title_level_hist", "select count(*) filter (where role = 'user') as with_level, count(*) filter (where role <> 'user') as without_level from {conversations}", "conversations")
+both("heading_levels", "select 'h' || cast(1 + turn % 3 as varchar) as level, count(*) as n from {conversations} where role = 'user' group by 1", "conversations", {"varchar": "string"})
+both("inspect_summary", "select source, count(*) as pages, count(distinct lang) as languages, cast(sum(n_chars) as bigint) as chars, max(n_chars) as most from {documents} group by source", "documents")
+both("char_counts", "select conv_id, cast(sum(length(text)) as bigint) as chars, cast(sum(case when role = 'user' then length(text) else 0 end) as bigint) as heading_chars from {conversations} group by conv_id", "conversations")
+both("page_span", "select source, lang, max(doc_id) - min(doc_id) + 1 as span from {documents} group by source, lang", "documents")
+both("render_counts", "select conv_id, count(*) filter (where role = 'user') as headings, count(*) filter (where role = 'assistant') as paragraphs, count(*) filter (where role not in ('user', 'assistant')) as others from {conversations} group by conv_id", "conversations")
+both("source_counts", "select count(*) filter (where contains(text, '###')) as code, count(*) filter (where contains(text, ' | ')) as tables, count(*) filter (where contains(text, '$')) as math, count(*) as meaningful from {documents}", "documents")
+both("severity_counts", "select severity, count(*) as n from (select case when n_chars < 50 then 'ERROR' when n_chars < 200 then 'WARNING' end as severity from {documents} union all select case when contains(html, '<script') then 'ERROR' else 'INFO' end from {pages}) where severity is not null group by severity", "documents pages")
+both("stage_latest", "select user_id, max_by(event_type, event_id) as state, max(event_id) as event_id, count(*) as records from {events} group by user_id", "events")
+
+# ------------------------------------------------------------------ joins and integrity
+
+both("asset_left_join", "select d.doc_id, coalesce(cast(l.quality as varchar), 'none') as asset, l.doc_id is not null as found from {documents} d left join {labels} l on d.doc_id = l.doc_id", "documents labels", {"varchar": "string"})
+both("page_width_join", "select l_orderkey, l_linenumber, l_partkey, round(l_quantity / coalesce(o_totalprice, 1000.0), 8) as ratio from {lineitem} left join {orders} on l_orderkey = o_orderkey and o_orderstatus = 'O'", "lineitem orders")
+both("missing_refs", "select o_orderkey from {orders} where not exists (select 1 from {lineitem} where l_orderkey = o_orderkey and l_linenumber > 3)", "orders lineitem")
+both("manifest_anti", "select c_custkey from {customer} where not exists (select 1 from {orders} where o_custkey = c_custkey)", "customer orders")
+both("spine_anti", "select distinct l_partkey from {lineitem} where not exists (select 1 from {part} where p_partkey = l_partkey and p_size > 10)", "lineitem part")
+both("page_map_complete", "select doc_id, label, target from (select doc_id, source as label, 'part-1' as target from {documents} where lang = 'en' union all select d.doc_id, 'scan-' || cast(d.doc_id + 1 as varchar), 'first' from {documents} d where not exists (select 1 from {documents} e where e.doc_id = d.doc_id and e.lang = 'en'))", "documents", {"varchar": "string"})
+both("page_qa", "select d.doc_id, coalesce(t.turns, 0) as blocks, coalesce(l.n, 0) as targets from {documents} d left join (select conv_id, count(*) as turns from {conversations} group by conv_id) t on d.doc_id = t.conv_id left join (select doc_id, count(*) as n from {labels} group by doc_id) l on d.doc_id = l.doc_id", "documents conversations labels")
+both("aside_insert", "select a.l_orderkey, a.l_linenumber, a.l_partkey, min(b.l_linenumber) as before_block from {lineitem} a left join {lineitem} b on a.l_orderkey = b.l_orderkey and b.l_returnflag <> 'R' and b.l_quantity > a.l_quantity where a.l_returnflag = 'R' group by 1, 2, 3", "lineitem")
+both("script_check", "select page_id from {pages} where contains(html, '<script')", "pages")
+both("event_handlers", "select page_id, len(regexp_extract_all(html, ' on[a-z]+=', 0)) as handlers from {pages}", "pages", {"len(": "size("})
+both("dup_ids", "select page_id, id, count(*) - 1 as repeats from (select page_id, unnest(regexp_extract_all(html, ' (?:id|class)=\"([^\"]*)\"', 1)) as id from {pages}) group by 1, 2 having count(*) > 1", "pages", {"unnest(": "explode("})
+both("nav_once", "select page_id, len(regexp_extract_all(html, '<nav', 0)) <> 1 as issue from {pages}", "pages", {"len(": "size("})
+both("link_check", """with l as (select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) as href from {pages})
+    select href, count(*) as uses from l where not (starts_with(href, 'http://') or starts_with(href, 'https://') or starts_with(href, 'mailto:')) and not exists (select 1 from {pages} p where p.url = l.href) group by href""", "pages", {"unnest(": "explode(", "starts_with(": "startswith("})
+both("qa_checks", """with s as (select count(*) as source_blocks from {documents}), r as (select count(*) as rendered, count(*) filter (where quality = 1) as good from {labels})
+    select source_blocks, rendered, good, source_blocks = 0 or rendered >= 0.7 * source_blocks as content_ok, good >= rendered as quality_ok from s join r on true""", "documents labels")
+both("qa_metrics", """select source, round(least(1.0, count(l.doc_id) / cast(count(*) as double)), 4) as coverage, count(*) - count(l.doc_id) as unknown, round(100.0 * (count(*) - count(l.doc_id)) / greatest(count(*), 1), 2) as unknown_per_100
+    from {documents} d left join {labels} l on d.doc_id = l.doc_id group by source""", "documents labels", {"100.0 *": "cast(100 as double) *", "least(1.0,": "least(cast(1 as double),"})
+both("metadata_resolve", "select conv_id, coalesce(nullif(trim(max(case when turn = 0 and role = 'system' then text end)), ''), nullif(trim(min_by(case when role = 'user' then text end, case when role = 'user' then turn end)), ''), 'Untitled Book') as title from {conversations} group by conv_id", "conversations")
+
+# ------------------------------------------------------------------ rendering
+
+_ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+both("paragraph_render", "select conv_id, turn, '<p>' || " + _ESC.format("text") + " || '</p>' as xhtml from {conversations} where role <> 'user'", "conversations")
+both("heading_render", "select conv_id, turn, '<h' || cast(1 + turn % 3 as varchar) || ' id=\"h-' || cast(row_number() over (partition by conv_id order by turn) as varchar) || '\">' || " + _ESC.format("text") + " || '</h' || cast(1 + turn % 3 as varchar) || '>' as xhtml from {conversations} where role = 'user'", "conversations", {"varchar": "string"})
+both("list_render", "select conv_id, '<ul>' || string_agg('<li>' || " + _ESC.format("text") + " || '</li>', '' order by turn) || '</ul>' as xhtml from {conversations} group by conv_id", "conversations", {"string_agg(": "listagg(", ", '' order by turn)": ", '') within group (order by turn)"})
+both("plain_text", "select conv_id, string_agg(text, ' \n' order by turn) as body from {conversations} group by conv_id", "conversations", {"string_agg(": "listagg(", " order by turn)": ") within group (order by turn)"})
