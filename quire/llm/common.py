@@ -101,12 +101,12 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: str, text: str) -> Dat
     Only rows that may be among those to go are shuffled with their texts, the others pass. Of rows that are equal in key
     and text, of which some stay, one stays.
     """
-    gone = decisions.groupBy("key", "th").agg(F.max("kept").alias("any"), F.min("kept").alias("all")).where("not all")
-    gone = stash(gone.withColumn("found", F.lit(True)), "gone")
+    gone = decisions.groupBy(F.col("key").alias("_quire_k"), F.col("th").alias("_quire_t")).agg(F.max("kept").alias("_quire_any"), F.min("kept").alias("_quire_all"))
+    gone = stash(gone.where("not _quire_all"), "gone")
     names, marks = docs.columns, ["_quire_key", "_quire_th"]
     rows = docs.withColumns({marks[0]: F.col(f"`{key}`"), marks[1]: F.xxhash64(F.col(f"`{text}`"))})
-    maybe = may_hold(key_bitmap(gone, "key", "th"), *marks)
-    met = rows.where(maybe).join(gone, F.col(marks[0]).eqNullSafe(F.col("key")) & (F.col(marks[1]) == F.col("th")), "left")
-    stay = met.where("found is null").select(*[F.col(f"`{c}`") for c in names])
-    once = met.where("`any`").groupBy(*marks).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row")).select("row.*")
+    maybe = may_hold(key_bitmap(gone, "_quire_k", "_quire_t"), *marks)
+    met = rows.where(maybe).join(gone, F.col(marks[0]).eqNullSafe(F.col("_quire_k")) & (F.col(marks[1]) == F.col("_quire_t")), "left")
+    stay = met.where("_quire_any is null").select(*[F.col(f"`{c}`") for c in names])
+    once = met.where("_quire_any").groupBy(*marks).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row")).select("row.*")
     return rows.where(~maybe).select(*[F.col(f"`{c}`") for c in names]).unionByName(stay).unionByName(once)

@@ -91,6 +91,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     """The best label of each word: scores are those of all texts' words one after another, lengths the words of each
     text. All texts go forward together, one word of each at a time."""
     n, m = scores.shape
+    if not n or not m:
+        return np.zeros(n, np.int64)
     order = np.argsort(-lengths, kind="stable")
     start = (np.cumsum(lengths) - lengths)[order]
     length = lengths[order]
