@@ -73,8 +73,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
         start = stop
 
 
-#: Bits of the bitmaps of keys: 512 KB at the driver and in each task, for any input.
-BITS = 1 << 22
+#: Bits of the bitmaps of keys: 64 KB at the driver and in each plan, for any input. Plans hold them as text too, so small ones spare the driver.
+BITS = 1 << 19
 
 
 def key_bitmap(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:

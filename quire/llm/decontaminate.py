@@ -78,8 +78,8 @@ class Index:
             at = np.concatenate([np.arange(len(x)) for x in found]) if found else np.zeros(0, np.int64)
             order = np.argsort(h, kind="stable")
             out.seeds.append((h[order], which[order], at[order]))
-            bits = np.zeros(1 << 22, bool)
-            bits[(h >> np.uint64(42)).astype(np.int64)] = True
+            bits = np.zeros(1 << 20, bool)
+            bits[(h >> np.uint64(44)).astype(np.int64)] = True
             out.bits.append(bits)
         return out
 
@@ -111,7 +111,7 @@ def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int
         if not len(table):
             continue
         h = _seeds(ids, places, k)
-        maybe = np.flatnonzero(index.bits[k][(h >> np.uint64(42)).astype(np.int64)])
+        maybe = np.flatnonzero(index.bits[k][(h >> np.uint64(44)).astype(np.int64)])
         low, high = np.searchsorted(table, h[maybe], "left"), np.searchsorted(table, h[maybe], "right")
         hit = high > low
         rows = np.repeat(maybe[hit], (high - low)[hit])

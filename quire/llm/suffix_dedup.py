@@ -299,7 +299,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("th"), F.col(text).alias("t"))
     found = stash(rows.mapInArrow(_scan(length), "key long, th long, s int, n int, off int, ah long, ch long"), "stretches")
     several = stash(found.groupBy("ah").count().where("count > 1").select("ah"), "anchors")
-    found = stash(found.where(may_hold(key_bitmap(several, "ah"), "ah")).join(several, "ah", "left_semi"), "repeated-anchors")
+    found = stash(found.where(may_hold(key_bitmap(several, "ah", bits=1 << 22), "ah")).join(several, "ah", "left_semi"), "repeated-anchors")
     firsts = [F.first(c).alias(c) for c in ("key", "th", "s", "n", "off")]
     classes = stash(found.groupBy("ah", "ch").agg(F.count("*").alias("copies"), *firsts), "classes")
     copied = stash(classes.where("copies > 1").select("ah", "ch"), "copied")
