@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, exact_dedup, language_id, packing, simhash
+from quire.llm import decontaminate, exact_dedup, language_id, near_copies, packing
 from quire.llm.common import keep_rows, stash
 from quire.llm.queries import held_out, table
 
@@ -26,8 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links the one with the smallest doc_id stays."""
-    return keep_rows(docs, simhash.near_duplicates(docs).select("key", "th", "kept"), "doc_id", "text")
+    """Of documents that near copies link (SimHash, bands of minima, five words, 0.8 or more) the one with the smallest doc_id stays."""
+    return keep_rows(docs, near_copies.near_copies(docs).select("key", "th", "kept"), "doc_id", "text")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,24 +37,32 @@ RADIUS = 4
 # ------------------------------------------------------------------ fingerprints
 
 
-def fingerprint(words: list[bytes], k: int) -> int:
-    """Of the k-word shingles, repeats included: bit b is 1 if it is set in over half of their XXH64 hashes (seed 42)."""
+def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
+    """XXH64 (seed 42) of the k-word shingles, repeats included; of fewer words the whole sequence is the only one."""
     from xxhash import xxh64_intdigest
 
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     if len(words) < k:
-        return xxh64_intdigest(b" ".join(words), 42)
+        return np.array([xxh64_intdigest(b" ".join(words), 42)], np.uint64)
     text = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     first, last = np.concatenate([[0], ends[: len(words) - k]]).tolist(), (ends[k - 1 :] - 1).tolist()
-    n = len(first)
-    h = np.fromiter([xxh64_intdigest(text[a:b], 42) for a, b in zip(first, last, strict=True)], np.uint64, n)
+    return np.fromiter([xxh64_intdigest(text[a:b], 42) for a, b in zip(first, last, strict=True)], np.uint64, len(first))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """Bit b is 1 if it is set in over half of the hashes; without hashes all bits are 0."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 65536):
+    for at in range(0, len(h), 65536):
         bits = np.unpackbits(h[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(words: list[bytes], k: int) -> int:
+    """The fingerprint of the k-word shingles, repeats included."""
+    return fingerprint_of(shingle_hashes(words, k))
 
 
 def _fingerprints(k: int):

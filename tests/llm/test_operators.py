@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.llm import components, decontaminate, exact_dedup, language_id, license_scan, packing, passages, simhash, suffix_dedup, token_store, url_filter
+from quire.llm import components, decontaminate, exact_dedup, language_id, license_scan, near_copies, packing, passages, simhash, suffix_dedup, token_store, url_filter
 from quire.llm.common import keep_rows
 
 #: Nulls, empty, white space, ties, repeated rows, clashing names of other columns.
@@ -116,6 +116,42 @@ def test_simhash(docs, none):
     assert simhash.near_duplicates(none).collect() == []
 
 
+def test_near_copies(spark, docs, none):
+    """Against all pairs, on texts near and far from the threshold, a bucket that is dealt to blocks included."""
+    texts = []
+    for i in range(40):
+        base = prose(int(RNG.integers(6, 400)), 1000 + i).split()
+        texts.append(" ".join(base))
+        for edits in (1, len(base) // 60, len(base) // 20):
+            words = list(base)
+            for at in RNG.integers(0, len(words), edits):
+                words[at] = "edited"
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts)) + [(500, None), (501, ""), (502, texts[0]), (502, texts[0]), (None, texts[1])]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    wanted = {i: find(i) for i in range(len(texts))}
+    for block in (2048, 3):
+        near_copies.BLOCK = block
+        found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.key: r.component_id for r in found if r.key is not None and r.key < 500} == wanted
+        assert len(found) == len(rows) and sum(r.kept for r in found if r.key is not None and r.key < 500) == len(set(wanted.values()))
+        assert {r.component_id for r in found if r.key == 502 or r.key is None} == {0}
+    near_copies.BLOCK = 2048
+    assert near_copies.near_copies(docs).count() == len(TEXTS)
+    assert near_copies.near_copies(none).count() == 0
+
+
 def test_components(spark, none):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (500, 501), (501, 500)]
     found = {r.v: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
