@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,7 +62,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, by
     return offsets[:-1] - base, offsets[1:] - base, body
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text each (one row at least), to bound the memory of what is computed from them."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     total = np.cumsum(lengths, dtype=np.int64)
@@ -71,6 +72,15 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
         stop = max(start + 1, int(np.searchsorted(total, done + most, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Returns free memory to the system: a worker lives on after its task, and what it keeps adds up over stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 #: Bits of the bitmaps of keys: 64 KB at the driver and in each plan, for any input. Plans hold them as text too, so small ones spare the driver.
