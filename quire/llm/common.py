@@ -14,8 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch that goes to a Python worker: rows alone, 10,000 of them, don't bound it when texts are long.
+BATCH_BYTES = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, unless it has a bound of its own; a single longer row still passes whole."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    bound_batches(spark)
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="quire-")

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bound_batches, slices
 
 #: First code points of the ranges, and the script of each range (0: others).
 RANGES = [
@@ -40,6 +40,8 @@ SAMPLE = 20_000
 SWITCH = 12.0
 #: Share of a language's training words in a script that makes the language a candidate there.
 SCRIPT_SHARE = 0.01
+#: Bytes of text that are labelled together; words as Python strings, and their scores, take some 30 times as much.
+SLICE = 1 << 20
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -154,6 +156,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     Fitted on a sample of about ``sample`` rows, chosen by a hash of the key; tasks count n-grams, and the sums, at most
     ``BUCKETS`` a language, come to the driver. Without labelled rows every prediction is ``und``.
     """
+    bound_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
     n = rows.count()
     share = min(1.0, sample / max(n, 1))
@@ -178,7 +181,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams, and of words of each script as bucket -1 - script."""
     total: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in slices(batch, 0):
+        for part in slices(batch, 0, SLICE):
             for lang in pc.unique(part.column(1)).to_pylist():
                 texts = part.column(0).filter(pc.equal(part.column(1), lang)).to_pylist()
                 words = [w for t in texts if t for w in _WORD.findall(t)]
@@ -197,11 +200,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH) -> DataFrame:
     """``key, lang_pred, score`` of each row, from the text alone. Whole texts, in batches of bounded bytes; repeated rows repeat."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, SLICE):
                 names, score = predict(shared.value, part.column(1).to_pylist(), switch)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["key", "lang_pred", "score"])
 
@@ -210,11 +214,12 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
 def language_spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", switch: float = SWITCH) -> DataFrame:
     """``key, lang, first_word, n_words, n_letters`` of each span, words counted from 0."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, SLICE):
                 counts, label, size, _, _ = spans(shared.value, part.column(1).to_pylist(), switch)
                 if not len(label) or not shared.value.languages:
                     continue
@@ -231,12 +236,13 @@ def language_spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.3, switch: float = SWITCH) -> DataFrame:
     """The rows of docs, all columns, whose language is not ``und`` and has a score of at least ``least``; nothing is shuffled."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, place, 4 << 20):
+            for part in slices(batch, place, SLICE):
                 names, score = predict(shared.value, part.column(place).to_pylist(), switch)
                 yield part.filter(pa.array([n != "und" and s >= least for n, s in zip(names, score.tolist(), strict=True)], pa.bool_()))
 
