@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,25 +96,33 @@ def give_back() -> None:
         trim(0)
 
 
-#: Bits of the bitmaps of keys: 64 KB at the driver and in each plan, for any input. Plans hold them as text too, so small ones spare the driver.
+#: Bits of the bitmaps of keys: 64 KB in each plan's subquery, for any input.
 BITS = 1 << 19
 
 
-def key_bitmap(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:
+@dataclass
+class Bitmap:
+    table: DataFrame  # one row, one column, written to the shared folder
+    bits: int
+
+
+def key_bitmap(keys: DataFrame, *columns: str, bits: int = BITS) -> Bitmap:
     """A bitmap of fixed size with the hash of each key. Of very many keys it fills up, and lets more through; what uses
-    it must be right for any key that it lets through."""
+    it must be right for any key that it lets through. It is made and written by executors; plans read it as a scalar
+    subquery, since a literal is kept with the text of each plan at the driver."""
     spot = F.pmod(F.xxhash64(*columns), F.lit(bits))
     words = keys.select(spot.alias("spot")).groupBy((F.col("spot") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("mask"))
-    out = np.zeros(bits // 64, np.int64)
-    for word, mask in words.collect():  # bits / 64 rows at most
-        out[word] = mask
-    return out.astype("<i8").tobytes()
+    every = keys.sparkSession.range(bits // 64).join(words, F.col("id") == F.col("word"), "left")  # bits / 64 rows
+    digits = F.collect_list(F.struct("id", F.lpad(F.hex(F.coalesce("mask", F.lit(0))), 16, "0").alias("hex")))
+    joined = every.agg(F.unhex(F.array_join(F.transform(F.array_sort(digits), lambda x: x.hex), "")).alias("bitmap"))
+    return Bitmap(stash(joined, "bitmap"), bits)
 
 
-def may_hold(bitmap: bytes, *columns: str) -> Column:
+def may_hold(bitmap: Bitmap, *columns: str) -> Column:
     """Whether a row's key may be in the bitmap."""
-    spot = F.pmod(F.xxhash64(*columns), F.lit(8 * len(bitmap)))
-    byte = F.conv(F.hex(F.substring(F.lit(bitmap), (spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    spot = F.pmod(F.xxhash64(*columns), F.lit(bitmap.bits))
+    place = F.shiftright(spot, 6) * 8 + 8 - F.shiftright(F.pmod(spot, F.lit(64)), 3)  # words are big-endian, places count from 1
+    byte = F.conv(F.hex(F.substring(bitmap.table.scalar(), place.cast("int"), F.lit(1))), 16, 10).cast("long")
     return F.call_function("getbit", byte, F.pmod(spot, F.lit(8)).cast("int")) == 1
 
 

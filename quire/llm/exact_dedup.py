@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import key_bitmap, may_hold, stash
+from .common import Bitmap, key_bitmap, may_hold, stash
 
 #: Code points of the normalised text that the second step hashes.
 PREFIX = 128
@@ -27,7 +27,7 @@ def normalised(text: Column) -> Column:
     return out
 
 
-def _survivors(keys: DataFrame) -> bytes:
+def _survivors(keys: DataFrame) -> Bitmap:
     """Bitmap of the (length, prefix hash) pairs of more than one row."""
     lengths = keys.groupBy("norm_len").agg(F.sum("n").alias("rows")).where("rows > 1").select("norm_len")
     return key_bitmap(keys.where("n > 1").join(lengths, "norm_len", "left_semi"), "norm_len", "prefix_hash")
