@@ -158,10 +158,11 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     sizes = stash(banded.groupBy("k").count().where("count > 1"), "near-buckets")
     maybe = banded.where(may_hold(key_bitmap(sizes, "k", bits=1 << 22), "k"))
     dealt = maybe.join(sizes, "k").select("k", F.pmod(F.xxhash64("th", "k"), F.ceil(F.col("count") / BLOCK)).cast("int").alias("deal"), (F.col("count") > BLOCK).alias("many"), "th", "sketch")
+    own = F.xxhash64("th", "k")  # an order of its own in each bucket: who fails a test in one may pass in another
     shape, order = "k long, u long, v long, sketch binary", ["k", "deal"]
-    first = stash(dealt.repartition(*order).sortWithinPartitions(*order, "th").mapInArrow(_compare, shape), "near-links")
+    first = stash(dealt.repartition(*order).sortWithinPartitions(*order, own).mapInArrow(_compare, shape), "near-links")
     heads = first.where("v is null").select("k", F.lit(0).alias("deal"), F.lit(False).alias("many"), F.col("u").alias("th"), "sketch")
-    second = heads.repartition("k").sortWithinPartitions("k", "th").mapInArrow(_compare, shape)
+    second = heads.repartition("k").sortWithinPartitions("k", own).mapInArrow(_compare, shape)
 
     pairs = first.where("v is not null").select("u", "v").unionByName(second.select("u", "v")).unionByName(by_print).where("u != v")
     pairs = stash(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near-pairs")
