@@ -3,7 +3,7 @@
 Texts with a similarity (Jaccard, of their sets of shingles) of 0.8 differ in about 10 of 64 SimHash bits, more than
 Golay-code keys can bridge. So links come from two sources: SimHash fingerprints within 4 bits, and buckets of texts
 that share a band of 5 minima of the same hashes, of 16 bands (a pair at 0.8 shares one with a probability of 0.998).
-In a bucket texts are compared by sketches of 256 bytes, breadth first, as many links as texts at most. A link counts
+In a bucket texts are compared by sketches of 256 bytes, breadth first, in three orders, as many links as texts at most in each. A link counts
 if the sets of 32-bit shingle hashes agree to 0.8 exactly. Very large buckets are dealt to blocks, whose heads are then compared with each other.
 """
 
@@ -25,6 +25,9 @@ WORDS, LEAST = 5, (4, 5)
 BANDS, DEPTH, SKETCH = 16, 5, 256
 #: What a sketch must show at least for a link to be verified: below LEAST, since sketches are inexact.
 HINT = 0.72
+#: Orders in which the texts of a bucket of over two are compared: in each a text is tested with the first that it is like,
+#: and may fail there though another in the bucket would do.
+TURNS = 3
 #: Texts of a bucket that are compared by one task.
 BLOCK = 2048
 
@@ -95,6 +98,17 @@ def forest(th: np.ndarray, sketches: np.ndarray) -> tuple[list[int], list[tuple[
     return heads, links
 
 
+def forests(th: np.ndarray, sketches: np.ndarray) -> tuple[list[int], list[tuple[int, int]]]:
+    """Heads and links of the forests in all orders, the given one first."""
+    heads, links = set(), set()
+    for turn in range(TURNS if len(th) > 2 else 1):
+        at = np.random.default_rng(turn).permutation(len(th)) if turn else np.arange(len(th))
+        some, more = forest(th[at], sketches[at])
+        heads.update(at[some].tolist())
+        links.update((min(x), max(x)) for x in more)
+    return sorted(heads), sorted(links)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (k, deal, many, th, sketch), sorted by the first two, to links (u, v), and to the heads of dealt buckets (k, u, sketch)."""
     held: list[pa.RecordBatch] = []
@@ -112,7 +126,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = len(starts) - 1 if batch is None else len(starts) - 2
         us, vs, hk, hu, hs = [], [], [], [], []
         for a, b in zip(starts[:stop], starts[1 : stop + 1], strict=True):
-            heads, links = forest(th[a:b], sketches[a:b]) if b - a > 1 else ([0], [])
+            heads, links = forests(th[a:b], sketches[a:b]) if b - a > 1 else ([0], [])
             us += [x for x, _ in links]
             vs += [y for _, y in links]
             if many[a]:
