@@ -5,6 +5,8 @@ Golay-code keys can bridge. So links come from two sources: SimHash fingerprints
 that share a band of 5 minima of the same hashes, of 16 bands (a pair at 0.8 shares one with a probability of 0.998).
 In a bucket texts are compared by sketches of 256 bytes, breadth first, in three orders, as many links as texts at most in each. A link counts
 if the sets of 32-bit shingle hashes agree to 0.8 exactly. Very large buckets are dealt to blocks, whose heads are then compared with each other.
+That settles most; then all pairs of a bucket that are alike by their sketches and not connected yet are tested exactly,
+those of different blocks too.
 """
 
 from __future__ import annotations
@@ -137,6 +139,92 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [] if batch is None else rows.slice(starts[stop]).to_batches()
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (k, deal), of batches sorted by these first two columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in chain_end(batches):
+        held += [batch] if batch is not None else []
+        if not held or (batch is not None and sum(b.num_rows for b in held) < 20_000 and sum(b.nbytes for b in held) < 16 << 20):
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        if not len(rows):
+            continue
+        k, deal = (rows.column(c).to_numpy() for c in range(2))
+        starts = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (deal[1:] != deal[:-1])])).tolist() + [len(k)]
+        stop = len(starts) - 1 if batch is None else len(starts) - 2
+        for a, b in zip(starts[:stop], starts[1 : stop + 1], strict=True):
+            yield rows.slice(a, b - a)
+        held = [] if batch is None else rows.slice(starts[stop]).to_batches()
+
+
+def by_root(root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of texts, those of one root together and the most frequent root last; and where in it the texts of other roots begin after each."""
+    _, which, n = np.unique(root, return_inverse=True, return_counts=True)
+    order = np.lexsort((which, n[which]))
+    ends = np.flatnonzero(np.diff(which[order], append=-1)) + 1
+    return order, ends[np.searchsorted(ends, np.arange(len(root)), "right")]
+
+
+def unsettled(root: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Whether each text is like one of another root by its sketch."""
+    order, after = by_root(root)
+    s, out = sketches[order], np.zeros(len(root), bool)
+    for i, a in enumerate(after.tolist()):
+        if a == len(root):
+            break
+        same = ((s[a:] == s[i]) & (s[a:] != 0)).sum(axis=1)
+        hit = same >= HINT * np.maximum(((s[a:] | s[i]) != 0).sum(axis=1), 1)
+        if hit.any():
+            out[order[i]] = True
+            out[order[a:][hit]] = True
+    return out
+
+
+def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, deal, th, root, sketch), sorted by the first two, to those that are unsettled, without the sketch."""
+    for rows in _groups(batches):
+        if len(rows) > 1:
+            mine = unsettled(rows.column(3).to_numpy(), np.frombuffer(utf8(rows.column(4))[2], np.uint8).reshape(-1, SKETCH))
+            if mine.any():
+                yield from rows.select([0, 1, 2, 3]).filter(pa.array(mine)).to_batches()
+
+
+def settle(root: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between roots, by an exact test of all pairs of sets whose roots aren't connected yet."""
+    order, after = by_root(root)
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    words, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    ids, mark = ids.astype(np.int32), np.zeros(len(words), np.uint8)
+    first, label, links = root[order], root[order].copy(), []
+    for i, a in enumerate(after.tolist()):
+        if a == len(root):
+            break
+        n = sizes[a:]
+        fit = (label[a:] != label[i]) & (LEAST[1] * np.minimum(n, sizes[i]) >= LEAST[0] * np.maximum(n, sizes[i]))
+        if not fit.any():
+            continue
+        own = ids[starts[i] : starts[i] + sizes[i]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[ids[starts[a] :]], starts[a:] - starts[a], dtype=np.int64)
+        mark[own] = 0
+        for j in (a + np.flatnonzero(fit & (LEAST[1] * both >= LEAST[0] * (n + sizes[i] - both)))).tolist():
+            if label[j] != label[i]:
+                links.append((int(first[i]), int(first[j])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (k, deal, root, shingles), sorted by the first two, to links (u, v) of roots."""
+    for rows in _groups(batches):
+        if len(rows) > 1:
+            a, b, body = utf8(rows.column(3))
+            links = settle(rows.column(2).to_numpy(), [np.frombuffer(body[i:j], np.uint32) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["u", "v"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -188,7 +276,23 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     roots = stash(components(links, "near-components").withColumnRenamed("v", "th"), "near-roots")
     lows = stash(rows.groupBy("th").agg(F.min(F.struct(F.col("key").isNull().alias("z"), "key", "th")).alias("low")), "near-lows")
-    members = stash(lows.join(roots, "th", "left").select("th", "low", F.coalesce("root", "th").alias("root")), "near-members")
+
+    # pairs of a bucket that aren't connected yet, since the texts were tested with others only: pairs of blocks, if it has several
+    banded = stash(dealt.join(roots, "th", "left").select("k", "th", F.coalesce("root", "th").alias("root"), "sketch"), "near-banded")
+    mixed = stash(banded.groupBy("k").agg(F.count("*").alias("n"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("k", F.ceil(F.col("n") / max(1, BLOCK // 2)).cast("int").alias("blocks")), "near-mixed")
+    own, many = F.pmod(F.xxhash64("th", "k"), F.col("blocks")).cast("int"), F.col("blocks") > 1
+    partners = F.when(many, F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own"))).otherwise(F.array(F.lit(0)))
+    met = banded.join(mixed, "k").withColumn("own", own).withColumn("with", F.explode(partners))
+    met = met.select("k", (F.least("own", "with").cast("long") * F.col("blocks") + F.greatest("own", "with")).alias("deal"), "th", "root", "sketch")
+    left = stash(met.repartition(*order).sortWithinPartitions(*order).mapInArrow(_unsettled, "k long, deal long, th long, root long"), "near-unsettled")
+    ends = stash(left.select("th").distinct(), "near-left")
+    met = texts.where(may_hold(key_bitmap(ends, "th", bits=1 << 22), "th")).select("th", "text").mapInArrow(_sets, "th long, shingles binary")
+    sets = stash(met.join(ends, "th", "left_semi").dropDuplicates(["th"]), "near-left-sets")
+    tested = left.join(sets, "th").select("k", "deal", "root", "shingles").repartition(*order).sortWithinPartitions(*order)
+    more = components(tested.mapInArrow(_settle, "u long, v long"), "near-components").select(F.col("v").alias("root"), F.col("root").alias("higher"))
+
+    members = lows.join(roots, "th", "left").select("th", "low", F.coalesce("root", "th").alias("root"))
+    members = stash(members.join(stash(more, "near-higher"), "root", "left").select("th", "low", F.coalesce("higher", "root").alias("root")), "near-members")
     least = stash(members.groupBy("root").agg(F.min("low").alias("c")), "near-least")
     classes = stash(members.join(least, "root").select("th", "c"), "near-classes")
     kept = F.col("key").eqNullSafe(F.col("c.key")) & (F.col("th") == F.col("c.th"))

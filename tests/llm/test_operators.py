@@ -152,6 +152,29 @@ def test_near_copies(spark, docs, none):
     assert near_copies.near_copies(none).count() == 0
 
 
+def test_near_copies_on_a_template(spark):
+    """Texts of one template, just below the threshold to each other, in pairs just above it."""
+    template, texts = prose(300, 77).split(), []
+    for i in range(110):
+        words = list(template)
+        for x in range(4):  # two texts share one of their places at most, those of a pair the word as well
+            y = (i // 2 % 11 + (2 * (i // 22) + i % 2) * x) % 11
+            words[6 * (11 * x + y) + 5] = f"own{i}" if x else f"pair{i // 2}"
+        texts.append(" ".join(words))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+    like = [[b for b in range(len(texts)) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])] for a in range(len(texts))]
+    wanted = list(range(len(texts)))
+    for _ in texts:
+        wanted = [min(wanted[b] for b in x) for x in like]
+    assert len(set(wanted)) > 40 and all(wanted[a] == wanted[a + 1] for a in range(0, len(texts), 2))
+    for block in (2048, 50):
+        near_copies.BLOCK = block
+        found = {r.key: r.component_id for r in near_copies.near_copies(rows).collect()}
+        near_copies.BLOCK = 2048
+        assert found == dict(enumerate(wanted))
+
+
 def test_components(spark, none):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (500, 501), (501, 500)]
     found = {r.v: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
