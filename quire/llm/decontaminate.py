@@ -4,14 +4,16 @@ A spaced seed hashes the words of a window at the places that its mask marks and
 words there don't matter. The masks together find every overlap of 13 words with at most 2 substituted ones. Seeds of
 benchmark items are joined with those of all windows of all documents: the benchmark is a stated query set, which goes
 in blocks of bounded bytes to the tasks, as a hash table of seeds, while documents stream past and are never shuffled. Around a hit, document and item are
-compared word by word along its diagonal; the best stretch, in which a match counts 1 and a substitution -2, decides.
+compared word by word along its diagonal. The best stretch, in which a match counts 1 and a substitution -2, is an overlap
+if its share of matches suffices, else the longest stretch that has the share; what is left on both sides is judged in the
+same way. Items of fewer words than an overlap have masks of their own and are compared as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, repeat
+from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,13 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_WORDS).split()
 
 
+def masks_of(n: int) -> list[np.ndarray]:
+    """Places in an item of n words, under 13: whichever words may be substituted, one of these leaves them all out."""
+    gone = int(n * (1 - IDENTITY) + 1e-9)
+    parts = np.array_split(np.arange(n), gone + 2)
+    return [np.concatenate([p for k, p in enumerate(parts) if k not in out]) for out in combinations(range(len(parts)), gone)]
+
+
 def _seeds(ids: np.ndarray, places: np.ndarray, salt: int) -> np.ndarray:
     n = len(ids) - int(places[-1])
     if n <= 0:
@@ -67,12 +76,14 @@ class Index:
             words = words_of((text or "").encode())
             if len(words) >= LEAST_ITEM:
                 out.items.append((item, np.fromiter((out.vocabulary.setdefault(w, len(out.vocabulary) + 1) for w in words), np.uint64, len(words))))
-        longest = max(int(p[-1]) + 1 for p in _PLACES)
-        short = sorted({len(x) for _, x in out.items if len(x) < longest})
-        out.kinds = _PLACES + [np.arange(n) for n in short]  # short items are looked for as a whole
-        for k, places in enumerate(out.kinds):
-            own = [i for i, (_, x) in enumerate(out.items) if (len(x) == len(places) if k >= len(_PLACES) else len(x) >= longest)]
-            found = [_seeds(out.items[i][1], places, k) for i in own]
+        lengths = [0] * len(_PLACES)  # of the items that a mask is for, 0 those of 13 words or more
+        out.kinds = list(_PLACES)
+        for n in sorted({len(x) for _, x in out.items if len(x) < MIN_WORDS}):
+            out.kinds += masks_of(n)
+            lengths += [n] * (len(out.kinds) - len(lengths))
+        for k, (places, n) in enumerate(zip(out.kinds, lengths, strict=True)):
+            own = [i for i, (_, x) in enumerate(out.items) if (len(x) == n if n else len(x) >= MIN_WORDS)]
+            found = [_seeds(out.items[i][1], places, k)[: 1 if n else None] for i in own]
             h = np.concatenate(found) if found else np.zeros(0, np.uint64)
             which = np.repeat(np.array(own, np.int64), [len(x) for x in found])
             at = np.concatenate([np.arange(len(x)) for x in found]) if found else np.zeros(0, np.int64)
@@ -93,6 +104,34 @@ def stretch(same: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def longest(same: np.ndarray) -> tuple[int, int]:
+    """Start and end of the longest stretch that begins and ends with a match and has the share of matches."""
+    at = np.flatnonzero(same)
+    if not len(at):
+        return 0, 0
+    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])  # IDENTITY: four matches for each substitution
+    most = np.maximum.accumulate(total[at + 1][::-1])[::-1]
+    last = at[np.searchsorted(-most, -total[at], "right") - 1] + 1
+    k = int(np.argmax(last - at))
+    return int(at[k]), int(last[k])
+
+
+def stretches(same: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Starts and ends of stretches of so many words or more that have the share of matches."""
+    out, todo = [], [(0, len(same))]
+    while todo:
+        a, b = todo.pop()
+        if b - a < least:
+            continue
+        x, y = stretch(same[a:b])
+        if y - x < least or same[a + x : a + y].mean() < IDENTITY:
+            x, y = longest(same[a:b])
+        if y - x >= least:
+            out.append((a + x, a + y))
+            todo += [(a, a + x), (a + y, b)]
+    return sorted(out)
+
+
 def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int, float]]:
     """(text, item, first word in the text, first word in the item, words, share of matches) of each overlap."""
     gap = 16
@@ -125,11 +164,10 @@ def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int
             item = index.items[i][1]
             a, b = max(d, int(start[t])), min(d + len(item), int(start[t] + counts[t]))
             same = ids[a:b] == item[a - d : b - d]
-            x, y = stretch(same)
-            n = y - x
-            share = float(same[x:y].mean()) if n else 0.0
-            if n >= min(MIN_WORDS, len(item)) and share >= IDENTITY:
-                out.append((t, index.items[i][0], a + x - int(start[t]), a + x - d, n, share))
+            parts = stretches(same, min(MIN_WORDS, len(item)))
+            if not parts and len(same) == len(item) <= MIN_WORDS and same.mean() >= IDENTITY:
+                parts = [(0, len(item))]  # the first or last word is substituted
+            out += [(t, index.items[i][0], a + x - int(start[t]), a + x - d, y - x, float(same[x:y].mean())) for x, y in parts]
     return out
 
 

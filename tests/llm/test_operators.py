@@ -267,6 +267,30 @@ def test_decontaminate(spark, docs, none):
     assert decontaminate.contaminated(docs, items).collect() == []
 
 
+def test_all_overlaps():
+    """Runs that substituted words keep apart, and short items with substituted words, at their ends too."""
+    item = [f"w{i}" for i in range(76)]
+
+    def found(item, gone):
+        index = decontaminate.Index.build([(1, " ".join(item))])
+        text = "before it " + " ".join("other" if i in gone else w for i, w in enumerate(item)) + " after it"
+        return [x[2:] for x in decontaminate.find(index, [b"nothing here", text.encode()])]
+
+    for n, gone in ((49, {*range(13, 18), *range(31, 36)}), (76, {*range(20, 28), *range(48, 56)})):
+        parts = found(item[:n], gone)
+        assert sum(p[2] for p in parts) >= n - len(gone) and all(p[2] >= 13 and p[3] >= 0.8 for p in parts) and all(p[0] == p[1] + 2 for p in parts)
+    for n in range(5, 14):
+        for k in (0, 1, 2, 3):
+            for gone in itertools.combinations(range(n), k):
+                assert [p[:3] for p in found(item[:n], gone)] == ([(2, 0, n)] if 10 * k <= 2 * n else []), (n, gone)
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        same = rng.random(int(rng.integers(13, 70))) < rng.uniform(0.6, 0.95)
+        spans = [(x, y) for x in range(len(same)) for y in range(x + 13, len(same) + 1) if same[x] and same[y - 1] and 5 * same[x:y].sum() >= 4 * (y - x)]
+        parts = decontaminate.stretches(same, 13)
+        assert bool(parts) == bool(spans) and set(parts) <= set(spans)
+
+
 def test_licenses(docs, none):
     assert len(license_scan.rules()) > 200
     found = {r.key: r for r in license_scan.scan(docs).collect()}
