@@ -344,6 +344,19 @@ def test_passages(spark, docs, none):
     assert {7, 8, 9, 14, 15} <= linked and passages.passages(none).collect() == []
 
 
+def test_passages_around_gaps():
+    """Both of two passages with different words between them, as one chain."""
+    for n, gap in ((60, 31), (60, 40), (60, 59), (100, 70), (60, 60), (60, 110)):
+        one, two = np.arange(n), 1000 + np.arange(n)
+        x, y = (np.concatenate([one, own + np.arange(gap), two]).astype(np.uint32) for own in (5000, 9000))
+        found = sorted(passages.every_passage([(x, y)], [(0, len(x), 0, len(y))]))
+        assert len(found) == 2 and all(f[5] >= 0.8 and f[1] == f[3] and f[2] == f[4] for f in found)
+        assert found[0][1] == 0 and found[0][2] >= n and found[1][1] <= n + gap and found[1][2] == len(x)
+    x, y = np.concatenate([one, 5000 + np.arange(30), two]), np.concatenate([one, 9000 + np.arange(55), two])
+    found = sorted(passages.every_passage([(x, y)], [(0, len(x), 0, len(y))]))
+    assert len(found) == 2 and found[1][2] == len(x) and found[1][4] == len(y)
+
+
 def test_url_filter(spark, none):
     listed = spark.createDataFrame([("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), (None, "/", "block")], "host string, path string, verdict string")
     urls = ["https://A.Example.org/es/1?x", "http://example.org/en/12#t", "http://example.org/en/2", "http://badexample.org/es/", "http://example.org", "nothing", None, "x://org/a://b", ""]
