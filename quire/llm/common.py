@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from dataclasses import dataclass
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,33 +29,110 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_BYTES)
 
 
+@lru_cache(1)
+def _local_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="quire-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where that is unset, a temporary folder in local
+    mode, as in tests; on a cluster it must be set, since executors don't share the driver's disk."""
     bound_batches(spark)
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quire-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = _local_dir()
     return found.rstrip("/")
 
 
+#: Paths that the operator which runs now has written, and not its callers.
+_made: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("made", default=None)
+
+
+def _file(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses; it is deleted when the driver ends."""
+    """A path in the shared folder that nothing else uses."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    if (made := _made.get()) is not None:
+        made.append((spark, path))
     return path
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    """Has the file system delete what was written there when the driver ends; it forgets paths that don't exist yet."""
+    fs, at = _file(spark, path)
+    fs.deleteOnExit(at)
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    """Makes a folder and gives its name with the scheme, by which other readers than Hadoop's find it, too."""
+    fs, at = _file(spark, path)
+    fs.mkdirs(at)
+    return fs.makeQualified(at).toString()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a path now."""
+    fs, at = _file(spark, path)
+    fs.delete(at, True)
+    fs.cancelDeleteOnExit(at)
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again. That cuts the lineage, survives lost executors, and lets Spark
     know the true size before it picks a join."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
+    keep_until_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def paths_of(df: DataFrame) -> set[str]:
+    """The last parts of the folders that a plan reads."""
+    return {file.rsplit("/", 2)[-2] for file in df.inputFiles()}
+
+
+def drop(*frames: DataFrame) -> None:
+    """Deletes the written tables that these read."""
+    for df in frames:
+        for last in paths_of(df):
+            discard(df.sparkSession, f"{shared_dir(df.sparkSession)}/{last}")
+
+
+def tidy(operator: Callable) -> Callable:
+    """Deletes the tables that an operator has written, as soon as it returns, but for those that its result reads: they
+    go when the driver ends, or when an operator that called this one returns. Bitmaps are small and read in subqueries,
+    which a plan doesn't name, so they stay, too."""
+
+    @wraps(operator)
+    def run(*args, **kwargs):
+        outer, made = _made.get(), []
+        token = _made.set(made)
+        used: set[str] = set()
+        try:
+            found = operator(*args, **kwargs)
+            frames = [x for x in (found, *vars(found).values()) if isinstance(x, DataFrame)] if not isinstance(found, DataFrame) else [found]
+            used = set().union(*map(paths_of, frames)) if frames else set()
+            return found
+        finally:
+            _made.reset(token)
+            for spark, path in made:
+                last = path.rsplit("/", 1)[-1]
+                if last in used or last.startswith(KEPT):
+                    if outer is not None:
+                        outer.append((spark, path))
+                else:
+                    discard(spark, path)
+
+    return run
+
+
 def total_bytes(df: DataFrame, column: str) -> int:
     """Bytes of text in a column over all rows."""
     return df.agg(F.coalesce(F.sum(F.octet_length(F.coalesce(F.col(column), F.lit("")))), F.lit(0))).head()[0]
@@ -96,20 +176,27 @@ def give_back() -> None:
         trim(0)
 
 
-#: Bits of the bitmaps of keys: 64 KB in each plan's subquery, for any input.
-BITS = 1 << 19
+#: Names of what plans read without naming it.
+KEPT = ("bitmap-", "tokens-")
+#: Least and most bits of a bitmap of keys: 8 KB to 8 MB in a plan's subquery, for any input.
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 26
 
 
 @dataclass
 class Bitmap:
-    table: DataFrame  # one row, one column, written to the shared folder
-    bits: int
-
-
-def key_bitmap(keys: DataFrame, *columns: str, bits: int = BITS) -> Bitmap:
-    """A bitmap of fixed size with the hash of each key. Of very many keys it fills up, and lets more through; what uses
-    it must be right for any key that it lets through. It is made and written by executors; plans read it as a scalar
-    subquery, since a literal is kept with the text of each plan at the driver."""
+    table: DataFrame | None  # one row, one column, written to the shared folder; none lets every key through
+    bits: int = 0
+
+
+def key_bitmap(keys: DataFrame, *columns: str) -> Bitmap:
+    """A bitmap with the hash of each key, of a size that goes with their number: 16 bits a key at least, 8 MB at most. Of
+    more than 16 million keys it would hardly keep anything back, so there is none: then every row is shuffled, once, as
+    a join does by itself. What uses it must be right for any key that it lets through. It is made and written by
+    executors; plans read it as a scalar subquery, since a literal is kept with the text of each plan at the driver."""
+    n = keys.count()
+    if 4 * n > MOST_BITS:
+        return Bitmap(None)
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * max(n, 1) - 1).bit_length()))
     spot = F.pmod(F.xxhash64(*columns), F.lit(bits))
     words = keys.select(spot.alias("spot")).groupBy((F.col("spot") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot % 64 as int))")).alias("mask"))
     every = keys.sparkSession.range(bits // 64).join(words, F.col("id") == F.col("word"), "left")  # bits / 64 rows
@@ -120,17 +207,21 @@ def key_bitmap(keys: DataFrame, *columns: str, bits: int = BITS) -> Bitmap:
 
 def may_hold(bitmap: Bitmap, *columns: str) -> Column:
     """Whether a row's key may be in the bitmap."""
+    if bitmap.table is None:
+        return F.lit(True)
     spot = F.pmod(F.xxhash64(*columns), F.lit(bitmap.bits))
     place = F.shiftright(spot, 6) * 8 + 8 - F.shiftright(F.pmod(spot, F.lit(64)), 3)  # words are big-endian, places count from 1
     byte = F.conv(F.hex(F.substring(bitmap.table.scalar(), place.cast("int"), F.lit(1))), 16, 10).cast("long")
     return F.call_function("getbit", byte, F.pmod(spot, F.lit(8)).cast("int")) == 1
 
 
+@tidy
 def keep_rows(docs: DataFrame, decisions: DataFrame, key: str, text: str) -> DataFrame:
     """The rows of docs that ``decisions(key, th, kept)`` keep; th is ``xxhash64(text)``, a decision stands for each row.
 
     Only rows that may be among those to go are shuffled with their texts, the others pass. Of rows that are equal in key
-    and text, of which some stay, one stays.
+    and text, of which some stay, one stays: the smallest by its other columns in their order, as far as they can be
+    ordered, else any.
     """
     gone = decisions.groupBy(F.col("key").alias("_quire_k"), F.col("th").alias("_quire_t")).agg(F.max("kept").alias("_quire_any"), F.min("kept").alias("_quire_all"))
     gone = stash(gone.where("not _quire_all"), "gone")
@@ -139,5 +230,6 @@ def keep_rows(docs: DataFrame, decisions: DataFrame, key: str, text: str) -> Dat
     maybe = may_hold(key_bitmap(gone, "_quire_k", "_quire_t"), *marks)
     met = rows.where(maybe).join(gone, F.col(marks[0]).eqNullSafe(F.col("_quire_k")) & (F.col(marks[1]) == F.col("_quire_t")), "left")
     stay = met.where("_quire_any is null").select(*[F.col(f"`{c}`") for c in names])
-    once = met.where("_quire_any").groupBy(*marks).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row")).select("row.*")
+    one = F.first if re.search("map<|variant", docs.schema.simpleString()) else F.min
+    once = met.where("_quire_any").groupBy(*marks).agg(one(F.struct(*[F.col(f"`{c}`") for c in names])).alias("row")).select("row.*")
     return rows.where(~maybe).select(*[F.col(f"`{c}`") for c in names]).unionByName(stay).unionByName(once)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import drop, stash, tidy
 
 
+@tidy
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """``v, root`` for every vertex of ``edges(u, v)``, both bigint: root is the smallest vertex of v's component.
 
@@ -25,10 +26,12 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         least = stash(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), name)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = stash(large, name)
+        drop(least, now)
         # small star: u and its smaller neighbours go to the smallest of them
         least = stash(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         now = stash(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
+        drop(least, large)
         # when a round leaves the edges as they are, all are stars
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("u") % 1_000_003)).head()
         if state == last:

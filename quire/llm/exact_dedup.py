@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bitmap, key_bitmap, may_hold, stash
+from .common import Bitmap, key_bitmap, may_hold, stash, tidy
 
 #: Code points of the normalised text that the second step hashes.
 PREFIX = 128
@@ -33,6 +33,7 @@ def _survivors(keys: DataFrame) -> Bitmap:
     return key_bitmap(keys.where("n > 1").join(lengths, "norm_len", "left_semi"), "norm_len", "prefix_hash")
 
 
+@tidy
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False, prefix: int = PREFIX) -> DataFrame:
     """One row per input row: ``key, th, row_id, n_points, norm_len, keep_id, group_size, kept, text_sha256``.
 

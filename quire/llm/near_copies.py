@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import key_bitmap, may_hold, slices, stash, utf8
+from .common import key_bitmap, may_hold, slices, stash, tidy, utf8
 from .components import components
 from .simhash import RADIUS, _emit_keys, _links, chain_end, fingerprint_of, shingle_hashes
 
@@ -235,6 +235,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
+@tidy
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, th, component_id, kept`` of each row: texts with a five-word similarity of 0.8 or more are linked, the component
     is the smallest key that links reach; the row with that key is kept, of several the one with the smallest th
@@ -258,7 +259,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     # buckets of bands
     banded = distinct.select("th", "sketch", F.explode("bands").alias("k"))
     sizes = stash(banded.groupBy("k").count().where("count > 1"), "near-buckets")
-    maybe = banded.where(may_hold(key_bitmap(sizes, "k", bits=1 << 22), "k"))
+    maybe = banded.where(may_hold(key_bitmap(sizes, "k"), "k"))
     dealt = maybe.join(sizes, "k").select("k", F.pmod(F.xxhash64("th", "k"), F.ceil(F.col("count") / BLOCK)).cast("int").alias("deal"), (F.col("count") > BLOCK).alias("many"), "th", "sketch")
     own = F.xxhash64("th", "k")  # an order of its own in each bucket: who fails a test in one may pass in another
     shape, order = "k long, u long, v long, sketch binary", ["k", "deal"]
@@ -269,7 +270,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     pairs = first.where("v is not null").select("u", "v").unionByName(second.select("u", "v")).unionByName(by_print).where("u != v")
     pairs = stash(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "near-pairs")
     ends = stash(pairs.select(F.col("u").alias("th")).unionByName(pairs.select(F.col("v").alias("th"))).distinct(), "near-ends")
-    met = texts.where(may_hold(key_bitmap(ends, "th", bits=1 << 22), "th")).select("th", "text").mapInArrow(_sets, "th long, shingles binary")
+    met = texts.where(may_hold(key_bitmap(ends, "th"), "th")).select("th", "text").mapInArrow(_sets, "th long, shingles binary")
     sets = stash(met.join(ends, "th", "left_semi").dropDuplicates(["th"]), "near-sets")
     one, two = sets.withColumnsRenamed({"th": "u", "shingles": "x"}), sets.withColumnsRenamed({"th": "v", "shingles": "y"})
     links = pairs.join(one, "u").join(two, "v").select("u", "v", "x", "y").mapInArrow(_verify, "u long, v long")
@@ -286,7 +287,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     met = met.select("k", (F.least("own", "with").cast("long") * F.col("blocks") + F.greatest("own", "with")).alias("deal"), "th", "root", "sketch")
     left = stash(met.repartition(*order).sortWithinPartitions(*order).mapInArrow(_unsettled, "k long, deal long, th long, root long"), "near-unsettled")
     ends = stash(left.select("th").distinct(), "near-left")
-    met = texts.where(may_hold(key_bitmap(ends, "th", bits=1 << 22), "th")).select("th", "text").mapInArrow(_sets, "th long, shingles binary")
+    met = texts.where(may_hold(key_bitmap(ends, "th"), "th")).select("th", "text").mapInArrow(_sets, "th long, shingles binary")
     sets = stash(met.join(ends, "th", "left_semi").dropDuplicates(["th"]), "near-left-sets")
     tested = left.join(sets, "th").select("k", "deal", "root", "shingles").repartition(*order).sortWithinPartitions(*order)
     more = components(tested.mapInArrow(_settle, "u long, v long"), "near-components").select(F.col("v").alias("root"), F.col("root").alias("higher"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash, utf8
+from .common import slices, stash, tidy, utf8
 from .components import components
 
 #: Widths of the segments, and the start of each from the lowest bit.
@@ -212,6 +212,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
     return rows.mapInArrow(_fingerprints(k), "key long, th long, fp long")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 4, radius: int = RADIUS) -> DataFrame:
     """``key, th, fp, component_id, kept`` of each row: the component is the smallest key that can be reached over links of up
     to ``radius`` bits (at most 4); the row with that key is kept, of several the one with the smallest th (xxhash64(text)).

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import key_bitmap, may_hold, slices, stash, utf8
+from .common import key_bitmap, may_hold, slices, stash, tidy, utf8
 
 #: Bytes of the strings, and of the anchors in them.
 LENGTH, ANCHOR = 400, 32
@@ -291,6 +291,7 @@ def _merged(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
 # ------------------------------------------------------------------ the operator
 
 
+@tidy
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``key, th, a, b``: spans of bytes, together covering each byte of a string of ``length`` bytes that starts more than once.
 
@@ -299,7 +300,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("th"), F.col(text).alias("t"))
     found = stash(rows.mapInArrow(_scan(length), "key long, th long, s int, n int, off int, ah long, ch long"), "stretches")
     several = stash(found.groupBy("ah").count().where("count > 1").select("ah"), "anchors")
-    found = stash(found.where(may_hold(key_bitmap(several, "ah", bits=1 << 22), "ah")).join(several, "ah", "left_semi"), "repeated-anchors")
+    found = stash(found.where(may_hold(key_bitmap(several, "ah"), "ah")).join(several, "ah", "left_semi"), "repeated-anchors")
     firsts = [F.first(c).alias(c) for c in ("key", "th", "s", "n", "off")]
     classes = stash(found.groupBy("ah", "ch").agg(F.count("*").alias("copies"), *firsts), "classes")
     copied = stash(classes.where("copies > 1").select("ah", "ch"), "copied")
@@ -314,6 +315,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     return stash(whole.unionByName(partial).distinct(), "repeats")
 
 
+@tidy
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``key, text, removed``: each row with its whole text and the maximal spans of bytes to remove, in order.
 
