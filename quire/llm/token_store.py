@@ -32,19 +32,21 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import new_path, slices, stash
+from .common import keep_until_exit, make_folder, new_path, slices, stash, tidy
 
 MAGIC = b"QTOK0001"
 #: Bits per key in each level of the hash.
 GAMMA = 2.0
 #: Pieces of text that an encoder keeps the ids of; those that come later are encoded again each time.
 KEPT_PIECES = 800_000
-_PAIR = re.compile(r"\s\s")
+#: What counts as white space in any reading, for Arrow's regular expressions.
+_WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{180E}\x{200B}\pZ]"
 MANIFEST = "shard long, file string, lowest long, highest long, has_null boolean, n_docs long, n_tokens long"
 
 
@@ -79,19 +81,31 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end_id = end_id
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([rf"{_WHITE}{_WHITE}", rf"^{_WHITE}", rf"{_WHITE}$", r"\x00", *special])
         self.known: dict[str, list[int]] = {}
         self.places = _Places()
         self.flat = np.zeros(1 << 20, self.dtype)
         self.start = np.zeros(1 << 16, np.int64)
 
-    def _cut(self, text: str) -> list[str]:
-        """Pieces: a word stands for itself with a space before it, and after NUL for itself alone."""
-        if not text:
-            return []
-        if text[0].isspace() or text[-1].isspace() or _PAIR.search(text) or "\0" in text or any(s in text for s in self.special):
-            return ["\0" + text]
-        return ("\0" + text.replace("\n", " \n \0")).split(" ")
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each piece of all texts, and the pieces of each text: a word stands for itself with a space before
+        it, and after NUL for itself alone. Texts are cut, and their distinct pieces found, by Arrow."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, self.odd)
+        counts = np.ones(len(texts), np.int64)
+        counts[pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)] = 0
+        whole = odd.to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~whole & (counts > 0)))
+        lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), pc.replace_substring(plain, "\n", " \n \0"), pa.scalar("\0", pa.large_string())), " ")
+        counts[~whole & (counts > 0)] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        coded = pc.dictionary_encode(pc.list_flatten(lists))
+        of_piece = np.fromiter(map(self.places.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        at = np.empty(int(counts.sum()), np.int64)
+        single = np.repeat(whole, counts)
+        at[~single] = of_piece[coded.indices.to_numpy(zero_copy_only=False)] if len(of_piece) else 0
+        at[single] = np.fromiter((self.places["\0" + t] for t in texts.filter(odd).to_pylist()), np.int64, int(whole.sum()))
+        return at, counts
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces, and how many each has. Marks at the end of a word of letters are cut off first: the
@@ -125,12 +139,11 @@ class Encoder:
         self.flat[used : used + len(ids)] = ids
         self.start[first + 1 : n + 1] = used + np.cumsum(lengths)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, each text's followed by the end id, and the number of ids of each text."""
-        cut = [self._cut(t) for t in texts]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        n, before = int(counts.sum()), len(self.places)
-        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(cut)), np.int64, n)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, each text's followed by the end id, and the number of ids of each text; null counts as empty."""
+        before = len(self.places)
+        at, counts = self._cut(texts)
+        n = len(at)
         if self.places.new:
             self._learn(before, self.places.new)
             if len(self.places) > KEPT_PIECES:
@@ -212,13 +225,14 @@ def _place(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def _footer(keys: np.ndarray, null: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], int, int]:
-    code = np.where(null, np.int64(-(2**63)), keys)
-    fresh = np.concatenate([[True], (code[1:] != code[:-1]) | (null[1:] != null[:-1])]) if len(keys) else np.zeros(0, bool)
-    first = np.flatnonzero(fresh)
-    hashed = PerfectHash.build(code[first].view(np.uint64))
+    nulls = int(null.sum())  # they come first, and have no slot
+    fresh = np.concatenate([[True], keys[nulls + 1 :] != keys[nulls:-1]]) if len(keys) > nulls else np.zeros(0, bool)
+    first = nulls + np.flatnonzero(fresh)
+    code = keys[first].view(np.uint64)
+    hashed = PerfectHash.build(code)
     slots = np.zeros(len(first), np.dtype([("f", "<u4"), ("first", "<u4"), ("n", "<u4")]))
-    at = hashed.slot(code[first].view(np.uint64))
-    slots["f"][at], slots["first"][at], slots["n"][at] = fingerprint(code[first].view(np.uint64)), first, np.diff(np.append(first, len(keys)))
+    at = hashed.slot(code)
+    slots["f"][at], slots["first"][at], slots["n"][at] = fingerprint(code), first, np.diff(np.append(first, len(keys)))
     parts = [
         np.concatenate([[0], np.cumsum(sizes)]).astype("<u8").tobytes(), keys.astype("<i8").tobytes(), null.astype("u1").tobytes(),
         np.array([len(x) for x in hashed.levels], "<u8").tobytes(), b"".join(np.packbits(x).tobytes() for x in hashed.levels), slots.tobytes(),
@@ -239,7 +253,7 @@ def _write_shards(folder: str, make: Callable[[], Encoder]) -> Callable[[Iterato
                     encoder = encoder or make()
                     if out is None:
                         out = fs.open_output_stream(f"{at}/{name}.open")
-                    ids, n = encoder.encode([x or "" for x in part.column(1).to_pylist()])
+                    ids, n = encoder.encode(part.column(1))
                     out.write(ids.tobytes())
                     total += len(ids)
                     sizes.append(n)
@@ -295,8 +309,11 @@ class Shard:
         self.slots = np.frombuffer(rest, np.dtype([("f", "<u4"), ("first", "<u4"), ("n", "<u4")]), n_keys, here)
 
     def find(self, keys: np.ndarray, null: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """The first document and the number of documents of each key; (-1, 0) for a key that the shard doesn't hold."""
-        code = np.full(len(keys), -(2**63), np.int64) if null else np.asarray(keys, np.int64)
+        """The first document and the number of documents of each key, or of rows without one; (-1, 0) for a key that the shard doesn't hold."""
+        if null:  # they come first
+            n = int(self.null.sum())
+            return np.full(len(keys), 0 if n else -1, np.int64), np.full(len(keys), n, np.int64)
+        code = np.asarray(keys, np.int64)
         slot = self.hash.slot(code.view(np.uint64))
         hit = np.flatnonzero(slot >= 0)
         hit = hit[self.slots["f"][slot[hit]] == fingerprint(code[hit].view(np.uint64))]
@@ -374,6 +391,7 @@ def _reader(folder: str, most: int = 1 << 20):
     return read
 
 
+@tidy
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text", folder: str | None = None) -> TokenStore:
     """Encode every whole text and write the shards, in ascending order of the key (null first).
 
@@ -382,10 +400,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
     sort key has a hash of the text besides the key, so that one key with very many rows is dealt over several shards.
     """
     spark = docs.sparkSession
-    folder = folder or new_path(spark, "tokens")
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(folder)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+    folder, own = folder or new_path(spark, "tokens"), folder is None
+    folder = make_folder(spark, folder)
+    if own:
+        keep_until_exit(spark, folder)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("salt"))
     rows = rows.repartitionByRange(F.col("k").asc_nulls_first(), "salt").sortWithinPartitions(F.col("k").asc_nulls_first(), "salt", "t").select("k", "t")
     manifest = stash(rows.mapInArrow(_write_shards(folder, lambda: _encoder(tokenizer, end_id)), MANIFEST), "tokens-manifest")
