@@ -9,11 +9,13 @@ within a longer one of the same priority, is suppressed; what remains gives the
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,16 +162,29 @@ def detect(line: bytes) -> list[Detection]:
         rule, pattern = compiled[i]
         for m in pattern.finditer(line):
             found.append((m.start(), m.end(), rule.priority, i, rule.label))
-    out: list[Detection] = []
-    best: list[tuple[int, int]] = []
-    for start, end, priority, i, label in sorted(found, key=lambda x: (-x[2], x[0] - x[1], x[3], x[0])):
-        if any(a <= start and end <= b for a, b in best):
+    kept = []
+    starts: list[int] = []  # of those kept that lie in no other, ascending; so are their ends
+    ends: list[int] = []
+    for x in sorted(found, key=lambda x: (-x[2], x[0] - x[1], x[3], x[0])):
+        start, end = x[:2]
+        at = bisect_right(starts, start)
+        if at and ends[at - 1] >= end:
             continue
-        best.append((start, end))
-        out.append(Detection(label, line.count(b" ", 0, start), line.count(b" ", start, end), priority, i))
+        low, high = bisect_left(starts, start), bisect_right(ends, end)
+        starts[low : max(low, high)], ends[low : max(low, high)] = [start], [end]
+        kept.append(x)
+    first, last = (words_before(line, [x[side] for x in kept]) for side in (0, 1))
+    out = [Detection(label, a, b - a, priority, i) for (_, _, priority, i, label), a, b in zip(kept, first, last, strict=True)]
     return sorted(out, key=lambda d: (d.first, d.order))
 
 
+def words_before(line: bytes, places: list[int]) -> list[int]:
+    """The number of spaces before each place, in one pass over the line."""
+    if not places:
+        return []
+    return np.searchsorted(np.flatnonzero(np.frombuffer(line, np.uint8) == 32), places).tolist()
+
+
 def words_line(text: bytes) -> tuple[bytes, int]:
     """The words between single spaces, one before and one after them all, and their number."""
     words = text.translate(_WORDS).split()
@@ -183,9 +198,9 @@ def base_places(line: bytes) -> list[tuple[int, str]]:
         wanted = f" {phrase} ".encode()
         at = line.find(wanted)
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
+            out.append((at, label))
             at = line.find(wanted, at + 1)
-    return out
+    return list(zip(words_before(line, [at for at, _ in out]), [label for _, label in out], strict=True))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
