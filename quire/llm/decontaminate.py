@@ -20,14 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stash, total_bytes, utf8
+from .common import slices, stash, tidy, total_bytes, utf8
 
 #: Fixed masks: 6 words each. The test suite tries all ways to substitute 2 of 13 words.
 MASKS = ("11101011", "110100111")
 #: An overlap counts from so many words (or the whole item, if that is shorter), of which this share must match.
 MIN_WORDS, IDENTITY = 13, 0.8
-#: Items with fewer words are too common to be looked for.
-LEAST_ITEM = 5
 #: Bytes of benchmark text in a block.
 BLOCK = 8 << 20
 
@@ -74,7 +72,7 @@ class Index:
         out = cls()
         for item, text in rows:
             words = words_of((text or "").encode())
-            if len(words) >= LEAST_ITEM:
+            if words:
                 out.items.append((item, np.fromiter((out.vocabulary.setdefault(w, len(out.vocabulary) + 1) for w in words), np.uint64, len(words))))
         lengths = [0] * len(_PLACES)  # of the items that a mask is for, 0 those of 13 words or more
         out.kinds = list(_PLACES)
@@ -171,10 +169,12 @@ def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int
     return out
 
 
+@tidy
 def overlaps(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", block: int = BLOCK) -> DataFrame:
     """``key, item_id, first_word, item_word, n_words, identity`` of each overlap of a document and an item.
 
-    Null texts count as empty, empty texts overlap with nothing, items under 5 words are not looked for. Repeated items
+    Null texts and items count as empty, and those without words overlap with nothing. An item of fewer than 5 words must
+    stand in the text as it is, since no other share of its words reaches 0.8. Repeated items
     or documents give repeated rows. Null keys and item ids are kept. Without documents or items there are no rows.
     """
     spark = docs.sparkSession
@@ -204,6 +204,7 @@ def _finder(shared):
     return run
 
 
+@tidy
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``key, item_ids, n_overlaps, item_id, n_words, identity``: one row per document that overlaps with an item, with the longest overlap."""
     found = stash(overlaps(docs, benchmark, key, text, **options), "overlaps")
