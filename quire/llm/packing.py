@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stash, tidy
+
 #: Bytes of text in a sequence.
 CAPACITY = 8192
 #: Documents that are packed together, on average.
@@ -80,23 +82,26 @@ def _pack(capacity: int):
     return run
 
 
+@tidy
 def pack(docs: DataFrame, size: Column, source: Column, cluster: Column, key: str = "doc_id", capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """``key, piece, start, length, bin_id, place``: each document's pieces, where each starts in the document, and where it lies in its bin.
 
     A document longer than the capacity fills sequences of its own, and its last piece is packed like any other. Null or
     negative sizes count as 0; those documents still get a place. Null sources and clusters conflict with nothing.
-    Repeated rows are packed one by one. An empty table gives no rows. Other columns are not read.
+    Repeated rows are packed one by one, and the result depends on the rows alone, not on files or tasks. An empty table gives no rows. Other columns are not read.
     """
-    n = docs.count()
-    groups = max(1, -(-n // group))
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("key"), F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long").alias("size"), source.cast("string").alias("source"), cluster.cast("string").alias("cluster"))
-    # equal rows are told apart by the cluster alone, so a hash of the whole row and a part of its place deals them evenly
-    rows = rows.withColumn("row", F.xxhash64("key", "size", "source", "cluster"))
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("row", F.pmod(F.monotonically_increasing_id(), F.lit(64))), F.lit(groups)))
+    # equal rows are counted before they are dealt, and numbered, so that groups don't depend on files or tasks and none is hot
+    rows = stash(rows.groupBy("key", "size", "source", "cluster").agg(F.count("*").alias("n")), "packing-rows")
+    groups = max(1, -(-(rows.agg(F.sum("n")).head()[0] or 0) // group))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).withColumn("row", F.xxhash64("key", "size", "source", "cluster", "copy"))
+    rows = rows.select("key", "size", "source", "cluster", "row", F.pmod(F.xxhash64("row", F.lit(group)), F.lit(groups)).alias("grp"))
     return rows.groupBy("grp").applyInArrow(_pack(capacity), f"key {kind.simpleString()}, piece long, start long, length long, bin_id long, place long")
 
 
 def cluster_of(text: Column) -> Column:
-    """A cluster of duplicates: texts that are equal without case, punctuation and white space."""
-    return F.sha2(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", ""), 256)
+    """A cluster of duplicates: texts that are equal without case, punctuation and white space. Texts that have nothing
+    else, null ones too, are in no cluster, so they share bins."""
+    bare = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "")
+    return F.when(bare != "", F.sha2(bare, 256))
