@@ -8,6 +8,7 @@ it. Only candidates that pass are joined with the list, by host and path, which
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import stash, tidy
 
 #: Bits a listed URL, and most blocks of 512 bits of a filter (64 MB): longer lists let more through to the exact join.
 BITS_PER_URL, MOST_BLOCKS = 16, 1 << 20
@@ -75,6 +76,10 @@ class BlockedBloom:
         return (self.words[block[:, None], word] & mask == mask).all(axis=1)
 
 
+#: Stands for the path in the hash of a host alone.
+_HOST = "\0"
+
+
 def _hash(host: str, path: str) -> int:
     from xxhash import xxh64_intdigest
 
@@ -87,6 +92,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
 
+@tidy
 def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
     """``key, host, path, rule, verdict`` of each row of pages.
 
@@ -100,19 +106,22 @@ def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str =
     listed = listed.select("host", "path", "verdict").dropna().groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     listed = stash(listed.select("host", "path", "verdict"), "url-list")
     n, size = listed.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 8), F.lit(0))).head()
-    shapes = listed.select((F.size(F.split("host", r"\.")) * 65536 + F.least(F.length("path"), F.lit(65535))).alias("s")).distinct().orderBy("s")
-    shapes = [(s // 65536, s % 65536) for (s,) in shapes.collect()]  # few: labels of a host times characters of a path
-    bloom = spark.sparkContext.broadcast(BlockedBloom.build(listed.select("host", "path").mapInArrow(_hashes, "h long"), n))  # 64 MB at most
+    # for each number of labels the lengths of the paths that are listed with it: labels of a host times characters of a path, at most
+    shapes = listed.groupBy(F.size(F.split("host", r"\.")).alias("k")).agg(F.array_sort(F.collect_set(F.length("path"))).alias("m")).orderBy("k").collect()
+    hosts_too = listed.select("host", "path").unionByName(listed.select("host", F.lit(_HOST).alias("path")).distinct())
+    bloom = spark.sparkContext.broadcast(BlockedBloom.build(hosts_too.mapInArrow(_hashes, "h long"), 2 * n))  # 64 MB at most
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, hosts, paths = [], [], []
             for i, (host, path) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 labels = host.split(".")
-                for k, m in shapes:
-                    if k <= len(labels) and m <= len(path):
+                ends = [(".".join(labels[len(labels) - k :]), m) for k, m in shapes if k <= len(labels)]
+                known = bloom.value.has(np.fromiter((_hash(x, _HOST) for x, _ in ends), np.uint64, len(ends))) if ends else ()
+                for (x, lengths), listed_host in zip(ends, known, strict=True):
+                    for m in lengths[: bisect_right(lengths, len(path))] if listed_host else ():
                         at.append(i)
-                        hosts.append(".".join(labels[len(labels) - k :]))
+                        hosts.append(x)
                         paths.append(path[:m])
             hit = bloom.value.has(np.fromiter(map(_hash, hosts, paths), np.uint64, len(at))) if at else np.zeros(0, bool)
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
