@@ -7,12 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quire.llm import components, decontaminate, exact_dedup, language_id, license_scan, near_copies, packing, passages, simhash, suffix_dedup, token_store, url_filter
+from quire.llm import common, components, decontaminate, exact_dedup, language_id, license_scan, near_copies, packing, passages, simhash, suffix_dedup, token_store, url_filter
 from quire.llm.common import keep_rows
 
 #: Nulls, empty, white space, ties, repeated rows, clashing names of other columns.
@@ -65,13 +66,21 @@ def test_token_store(docs, none):
     assert token_store.write_tokens(none, path(), 2).documents().collect() == []
 
 
+def test_token_store_extreme_keys(spark):
+    """A null key and the smallest number beside each other, and repeated."""
+    rows = [(None, "a"), (-(2**63), "b"), (5, "c"), (None, "d"), (2**63 - 1, None), (-(2**63), "b")]
+    store = token_store.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path(), 2)
+    assert [len(store.get(k)) for k in (None, -(2**63), 5, 2**63 - 1, 0)] == [2, 2, 1, 1, 0]
+    assert [r.doc_id for r in store.documents().orderBy("start").collect()] == [None, None, -(2**63), -(2**63), 5, 2**63 - 1]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab ,.'s\n\té1\0", max_size=30), max_size=6))
 def test_encoder(texts):
     from tokenizers import Tokenizer
 
     encoder, t = token_store._encoder(path(), 2), Tokenizer.from_file(path())
-    ids, sizes = encoder.encode(texts)
+    ids, sizes = encoder.encode(pa.array(texts, pa.string()))
     wanted = [t.encode(x, add_special_tokens=False).ids + [2] for x in texts]
     assert ids.tolist() == [y for x in wanted for y in x] and sizes.tolist() == [len(x) for x in wanted]
 
@@ -317,6 +326,48 @@ def naive_fit(sizes, sources, clusters, capacity):
     return out
 
 
+def test_suppression():
+    """Against a test of all pairs, on a long text that repeats itself, in about linear time."""
+    import time
+
+    part = b"Licensed under the Apache License, Version 2.0 or the MIT license; GNU General Public License version 2 or later. CC BY SA 4.0 all rights reserved. "
+    line, _ = license_scan.words_line(part * 3)
+    machine, compiled = license_scan._machine()
+    found = [(m.start(), m.end(), r.priority, i, r.label) for i, (r, p) in enumerate(compiled) if r.keyword in line.decode() for m in p.finditer(line)]
+    kept = []
+    for x in sorted(found, key=lambda x: (-x[2], x[0] - x[1], x[3], x[0])):
+        if not any(a <= x[0] and x[1] <= b for a, b, *_ in kept):
+            kept.append(x)
+    wanted = sorted((line.count(b" ", 0, a), line.count(b" ", a, b), label) for a, b, _, _, label in kept)
+    assert sorted((d.first, d.n_words, d.label) for d in license_scan.detect(line)) == wanted
+    line, _ = license_scan.words_line(part * 35_000)  # 5 MB
+    start = time.time()
+    assert len(license_scan.detect(line)) > 100_000 and len(license_scan.base_places(line)) == 105_000 and time.time() - start < 60
+
+
+def test_short_items(spark):
+    items = spark.createDataFrame([(1, "one two three four"), (2, "Word"), (3, ""), (4, None)], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "x one two three four y"), (2, "one two three five"), (None, "a word."), (4, None), (5, "words")], "doc_id long, text string")
+    assert {(r.doc_id, tuple(r.item_ids)) for r in decontaminate.contaminated(texts, items).collect()} == {(1, (1,)), (None, (2,))}
+
+
+def test_folder_is_left_empty(docs, tmp_path, monkeypatch):
+    """What an operator has written goes when it returns, but for what its result reads, and bitmaps."""
+    import os
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    simhash.near_duplicates(docs).collect()
+    assert sorted(x.rsplit("-", 1)[0] for x in os.listdir(tmp_path)) == ["simhash", "simhash-classes"]
+
+
+def test_packing_of_empty_texts(spark):
+    """Empty texts are no copies of each other; equal rows don't meet in a bin if their source is known."""
+    rows = [(k, None if k % 2 else " ", None) for k in range(50)] + [(99, "abc", "s")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = packing.pack(docs, F.octet_length("text"), F.col("source"), packing.cluster_of(F.col("text"))).collect()
+    assert len(found) == 53 and len({r.bin_id for r in found}) == 3 and len({r.bin_id for r in found if r.key == 99}) == 3
+
+
 def test_packing(spark, docs, none):
     for _ in range(20):
         n = 60
@@ -344,6 +395,37 @@ def test_passages(spark, docs, none):
     assert {7, 8, 9, 14, 15} <= linked and passages.passages(none).collect() == []
 
 
+def test_passages_whose_parts_come_first_elsewhere(spark):
+    """Documents 3 and 4 share a passage whose seeds all occur earlier, in two others that hold less than a passage of it."""
+    w = prose(64, 1).split()
+    texts = [prose(30, 11) + " " + " ".join(w[:36]) + " " + prose(30, 12), prose(30, 13) + " " + " ".join(w[28:]) + " " + prose(30, 14)]
+    texts += [prose(40, 15 + k) + " " + " ".join(w) + " " + prose(40, 25 + k) for k in range(2)]
+    found = passages.passages(spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")).collect()
+    assert [(r.key, r.other) for r in found] == [(4, 3)] and found[0].n_words >= 64
+
+
+def test_passages_recall(spark):
+    """Against brute force: of passages of 60 words of which some are substituted, planted in two texts each."""
+    vocabulary = np.array(["w%d" % i for i in range(20_000)])
+    for rate, least in ((0.0, 1.0), (0.05, 0.9), (0.1, 0.7)):
+        rng, rows, planted = np.random.default_rng(int(rate * 100)), [], 0
+        for k in range(60):
+            p = rng.choice(vocabulary, 60)
+            q = np.where(rng.random(60) < rate, rng.choice(vocabulary, 60), p)
+            planted += 1
+            rows += [(2 * k, " ".join([*rng.choice(vocabulary, 100), *p, *rng.choice(vocabulary, 100)])), (2 * k + 1, " ".join([*rng.choice(vocabulary, 50), *q, *rng.choice(vocabulary, 50)]))]
+        found = {(r.key, r.other) for r in passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert found <= {(2 * k + 1, 2 * k) for k in range(60)} and len(found) >= least * planted
+
+
+def test_along():
+    """A walk over substitutions, an insertion and a deletion."""
+    x = np.arange(300)
+    y = np.concatenate([x[:100], [900, 901], x[102:150], [950, 951, 952], x[150:220], x[225:]])
+    at, other, same = passages.along(x, y, 120, 120)
+    assert (at[0], other[0], at[-1], other[-1]) == (0, 0, 300, len(y)) and same.sum() == 293 and (np.diff(at) >= 0).all() and (x[at[:-1]][same] == y[other[:-1]][same]).all()
+
+
 def test_passages_around_gaps():
     """Both of two passages with different words between them, as one chain."""
     for n, gap in ((60, 31), (60, 40), (60, 59), (100, 70), (60, 60), (60, 110)):
