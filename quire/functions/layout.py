@@ -19,3 +19,13 @@ def aspect(width: Column, height: Column) -> Column:
 
 def is_extreme(ratio: Column) -> Column:
     return (ratio < 0.35) | (ratio > 2.0)
+
+
+def bbox(numbers: Column) -> Column:
+    """struct(x0, y0, x1, y1) of an array of four numbers, else null."""
+    four = (F.size(numbers) == 4) & ~F.exists(numbers, lambda x: x.isNull())
+    return F.when(four, F.struct(*[F.get(numbers, F.lit(i)).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]))
+
+
+def layout_classes(hint: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("size-"), hint["size_class"], F.lit(" align-"), hint["alignment"]), F.lit("size-large align-center"))
