@@ -19,7 +19,7 @@ MIMETYPE = "application/epub+zip"
 CONTAINER = "META-INF/container.xml"
 MATHML = "http://www.w3.org/1998/Math/MathML"
 SEVERITIES = ("FATAL", "ERROR", "WARNING", "INFO")
-PARSED = "book_id string, name string, broken string, nodes array<struct<tag:string,space:string,attributes:map<string,string>>>"
+PARSED = "name string, broken string, nodes array<struct<tag:string,space:string,attributes:map<string,string>>>"
 
 
 def _issue(rows: DataFrame, rule: str, message: Column | str, file: Column | None = None, severity: str = "ERROR") -> DataFrame:
@@ -48,7 +48,7 @@ def parse_xml(entries: DataFrame) -> DataFrame:
             yield pd.DataFrame({"book_id": batch["book_id"], "name": batch["name"], "broken": [b for b, _ in found], "nodes": [n for _, n in found]})
 
     xml = entries.where(F.col("content").isNotNull() & F.lower("name").rlike(r"\.(xml|opf|xhtml|html|htm|ncx)$"))
-    return xml.select("book_id", "name", "content").mapInPandas(run, PARSED)
+    return xml.select("book_id", "name", "content").mapInPandas(run, f"book_id {entries.schema['book_id'].dataType.simpleString()}, {PARSED}")
 
 
 def resolve(base: Column, path: Column) -> Column:

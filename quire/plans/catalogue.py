@@ -79,7 +79,7 @@ def roman_numeral(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", text.roman(F.expr("case p_size % 4 when 0 then 'iv' when 1 then 'MCMXC' when 2 then 'iiii' else 'abc' end")).alias("value"))
 
 
-_HEAD = "case doc_id % 5 when 0 then 'Chapter 12 ' when 1 then '3.1.2 ' when 2 then 'ch. 7 ' when 3 then '第 十 章 ' else '' end || left(text, 20)"
+_HEAD = "case doc_id % 5 when 0 then 'Chapter 12 ' when 1 then '3.1.2 ' when 2 then 'ch. 7 ' when 3 then '第 十 章 ' else '' end || text"
 
 
 @query(f"select doc_id, cast(case when regexp_matches(t, '^(?i:chapter\\s+\\d+|ch\\.\\s*\\d+)|^第\\s*[0-9一二三四五六七八九十百千]+\\s*章|^\\d+(\\.\\d+)*\\s') then 1 end as integer) as level from (select doc_id, {_HEAD} t from documents)")
@@ -136,9 +136,9 @@ def path_normalize(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", text.normal_path(F.expr("'text/./sub/../../images/x/../' || p_size || '.png'")).alias("path"))
 
 
-@query("select doc_id, replace(replace(replace(left(text, 200) || '<&>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') as escaped from documents")
+@query("select doc_id, replace(replace(replace(text || '<&>', '&', '&amp;'), '<', '&lt;'), '>', '&gt;') as escaped from documents")
 def xml_escape(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", text.escape(F.expr("left(text, 200) || '<&>'")).alias("escaped"))
+    return read(spark, sf_dir, "documents").select("doc_id", text.escape(F.expr("text || '<&>'")).alias("escaped"))
 
 
 @query("select page_id, 'language-' || regexp_replace(lower(split_part(url, '/', 3)), '[^a-z0-9_+-]', '', 'g') as code_class from pages")

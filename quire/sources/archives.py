@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-ENTRIES = "book_id string, ord int, name string, method int, content binary, error string"
+ENTRIES = "ord int, name string, method int, content binary, error string"
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.epub") -> DataFrame:
@@ -21,7 +21,7 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.epub") -> DataF
 def unpack(files: DataFrame) -> DataFrame:
     """The entries of ``files(book_id, content)``. An archive that can't be read gives one row with the error; so does an entry. Null content is an archive that isn't there."""
 
-    def rows(book: str, content: bytes | None) -> Iterator[tuple]:
+    def rows(book, content: bytes | None) -> Iterator[tuple]:
         if content is None:
             yield book, -1, None, None, None, "missing"
             return
@@ -36,10 +36,10 @@ def unpack(files: DataFrame) -> DataFrame:
             yield book, -1, None, None, None, f"corrupt: {e}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in ENTRIES.split(", ")]
+        names = ["book_id"] + [c.split()[0] for c in ENTRIES.split(", ")]
         for batch in batches:
             for book, content in zip(batch["book_id"], batch["content"], strict=True):  # one archive at a time in memory
                 found = pd.DataFrame(list(rows(book, content)), columns=names)
                 yield found.astype({"ord": "Int32", "method": "Int32"})
 
-    return files.select("book_id", "content").mapInPandas(run, ENTRIES)
+    return files.select("book_id", "content").mapInPandas(run, f"book_id {files.schema['book_id'].dataType.simpleString()}, {ENTRIES}")
