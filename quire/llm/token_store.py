@@ -21,6 +21,7 @@ shard, and a lookup costs a few bit tests whatever the number of documents. Repe
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
@@ -47,6 +48,8 @@ GAMMA = 2.0
 KEPT_PIECES = 800_000
 #: What counts as white space in any reading, for Arrow's regular expressions.
 _WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{180E}\x{200B}\pZ]"
+#: Marks that are cut off the end of a word.
+_MARKS = ".,;:!?"
 MANIFEST = "shard long, file string, lowest long, highest long, has_null boolean, n_docs long, n_tokens long"
 
 
@@ -100,7 +103,7 @@ class Encoder:
         lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), pc.replace_substring(plain, "\n", " \n \0"), pa.scalar("\0", pa.large_string())), " ")
         counts[~whole & (counts > 0)] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = pc.dictionary_encode(pc.list_flatten(lists))
-        of_piece = np.fromiter(map(self.places.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        of_piece = np.fromiter(map(self.places.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(coded.dictionary))
         at = np.empty(int(counts.sum()), np.int64)
         single = np.repeat(whole, counts)
         at[~single] = of_piece[coded.indices.to_numpy(zero_copy_only=False)] if len(of_piece) else 0
@@ -113,8 +116,7 @@ class Encoder:
         stems, marks = [], []
         for p in pieces:
             p = p[1:] if p[0] == "\0" else p if p == "\n" else " " + p
-            stem = p.rstrip(".,;:!?")
-            if len(stem) == len(p) or not stem.removeprefix(" ").isalpha():
+            if p[-1:] not in _MARKS or not (stem := p.rstrip(_MARKS)).removeprefix(" ").isalpha():
                 stem = p
             stems.append(stem)
             marks.append(p[len(stem) :])
@@ -130,7 +132,13 @@ class Encoder:
         return np.fromiter(chain.from_iterable(ids), self.dtype, int(lengths.sum())), lengths
 
     def _learn(self, first: int, pieces: list[str]) -> None:
-        ids, lengths = self._ids(pieces)
+        collects = gc.isenabled()
+        gc.disable()  # a list of ids for each piece, and no cycles: looking for some would only take time
+        try:
+            ids, lengths = self._ids(pieces)
+        finally:
+            if collects:
+                gc.enable()
         used, n = int(self.start[first]), first + len(pieces)
         while used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])

@@ -85,6 +85,18 @@ def test_encoder(texts):
     assert ids.tolist() == [y for x in wanted for y in x] and sizes.tolist() == [len(x) for x in wanted]
 
 
+def test_encoder_without_collections():
+    """Learning pieces runs no garbage collection, of which each would walk over the ids of all pieces; it is on again afterwards."""
+    import gc
+
+    encoder, seen = token_store.Encoder(path(), 2), []
+    learned, encoder._ids = encoder._ids, lambda pieces: (seen.append(gc.isenabled()), learned(pieces))[1]
+    ids, sizes = encoder.encode(pa.array(["one two, three; four?! 5. ..,\n'six' .", None, "ten!"]))
+    assert seen == [False] and gc.isenabled()
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in ("one two, three; four?! 5. ..,\n'six' .", "", "ten!")]
+    assert ids.tolist() == sum(whole, []) and sizes.tolist() == list(map(len, whole))
+
+
 def test_perfect_hash():
     keys = np.unique(RNG.integers(0, 2**63, 20000)).astype(np.uint64)
     h = token_store.PerfectHash.build(keys)
