@@ -487,6 +487,37 @@ def test_short_chains_that_hold_a_passage():
     assert {f[0] for f in passages.every_passage(pairs, ends)} <= set(np.flatnonzero(good).tolist()) and good[1::2].mean() > 0.9 and not good[::2].any()
 
 
+def test_word_hashes():
+    """The words of all texts at once, as words_of cuts them: across blocks, and not across texts."""
+    rng = np.random.default_rng(9)
+    texts = ["".join(rng.choice(list("abAé '\n1_-"), rng.integers(0, 60))) for _ in range(3000)]
+    texts[5:9] = ["", "Ab", "ab", "x" * (passages.BLOCK + 9) + " é ab"]
+    for some in (texts, texts[:1], [""], []):
+        words = [decontaminate.words_of(t.encode()) for t in some]
+        ids, counts = passages.word_hashes(*common.utf8(pa.array(some, pa.string())))
+        assert counts.tolist() == [len(w) for w in words]
+        both = set(zip(itertools.chain.from_iterable(words), ids.tolist(), strict=True))
+        assert len(both) == len({w for w, _ in both}) == len({h for _, h in both})
+
+
+def test_common_words():
+    """Against the plain recurrence; a pair that has too few words in common holds no passage."""
+    rng, few = np.random.default_rng(10), 0
+    for k in range(200):
+        x, y = (rng.integers(0, (3, 40, 400)[k % 3], rng.integers(1, 90)).astype(np.uint32) for _ in range(2))
+        if k % 2:
+            y = np.concatenate([y[:10], np.where(rng.random(len(x)) < rng.random() / 2, 999, x), y[10:]]).astype(np.uint32)
+        row = [0] * (len(y) + 1)
+        for a in x.tolist():
+            before, row = row, [0]
+            for j, b in enumerate(y.tolist()):
+                row.append(before[j] + 1 if a == b else max(row[j], before[j + 1]))
+        assert passages.common_words(x, y) == row[-1]
+        few += row[-1] < passages.WORTH
+        assert row[-1] >= passages.WORTH or not passages.enough(*passages.align(x, y))
+    assert 50 < few < 190
+
+
 def test_along():
     """A walk over substitutions, an insertion and a deletion."""
     x = np.arange(300)
