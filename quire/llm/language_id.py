@@ -8,11 +8,12 @@ is the one with most letters in its spans.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -40,9 +41,16 @@ SAMPLE = 20_000
 SWITCH = 12.0
 #: Share of a language's training words in a script that makes the language a candidate there.
 SCRIPT_SHARE = 0.01
-#: Bytes of text that are labelled together; words as Python strings, and their scores, take some 30 times as much.
+#: Bytes of text that are labelled together.
 SLICE = 1 << 20
+#: Letters of words whose n-grams are scored together: a letter has some four, of 16 bytes and 4 a language at a time.
+SCORED = 1 << 14
+#: Characters of text whose words are Python strings at a time.
+PIECE = 1 << 16
+#: Words that a task keeps the scores of, as numbers and as letters: it forgets all of them when they are more.
+KNOWN = 1 << 18
 _WORD = regex.compile(r"\p{L}+")
+_END = regex.compile(r"\P{L}")
 
 
 @dataclass
@@ -53,16 +61,67 @@ class Model:
 
     def score(self, words: list[str]) -> np.ndarray:
         """words x languages: the log-likelihood of each word, minus that of the best language; barred languages get the worst."""
-        rows, grams = _grams(words)
         out = np.zeros((len(words), len(self.languages)), np.float32)
-        if len(words):
-            at = np.searchsorted(rows, np.arange(len(words)))
-            out[:] = np.add.reduceat(self.logp[grams], at, axis=0)
+        for a, b in _lots(words):
+            rows, grams = _grams(words[a:b])
+            at = np.searchsorted(rows, np.arange(b - a))
+            out[a:b] = np.add.reduceat(self.logp[grams], at, axis=0)
         barred = ~self.allowed[script_of(words)]
         out[barred] = -1e4
         return out - out.max(axis=1, keepdims=True, initial=-1e4)
 
 
+class Known:
+    """Places and scores of the words that a task has met. Most come again, so that few are scored, and of a text's words
+    only numbers are held."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.table = np.zeros((0, len(self.model.languages)), np.float32)
+        self.size = np.zeros(0, np.int64)
+
+    def codes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of words of each text, and the place of each word in ``table`` and ``size``, until the next call."""
+        if self.table.size > KNOWN or self.size.sum() > KNOWN:
+            self._forget()
+        at, counts, found = self.at, np.zeros(len(texts), np.int64), []
+        for i, text in enumerate(texts):
+            for words in _words(text):
+                found.append(np.fromiter((at.setdefault(w, len(at)) for w in words), np.int32, len(words)))
+                counts[i] += len(words)
+        fresh = list(islice(at, len(self.size), None))
+        if fresh:
+            self.table = np.concatenate([self.table, self.model.score(fresh)])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, fresh), np.int64, len(fresh))])
+        return counts, np.concatenate(found) if found else np.zeros(0, np.int32)
+
+
+def _words(text: str | None) -> Iterator[list[str]]:
+    """The words of a text, in lists of bounded length."""
+    start, n = 0, len(text or "")
+    while start < n:
+        stop = min(n, start + PIECE)
+        if stop < n:
+            end = _END.search(text, stop)  # no word is cut
+            stop = end.start() if end else n
+        yield _WORD.findall(text, start, stop)
+        start = stop
+
+
+def _lots(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of words with about ``SCORED`` letters each, one word at least."""
+    total = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    a = 0
+    while a < len(words):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + SCORED, "right")))
+        yield a, b
+        a = b
+
+
 def script_of(words: list[str]) -> np.ndarray:
     first = np.fromiter((ord(w[0]) for w in words), np.int64, len(words))
     return _SCRIPT[np.searchsorted(_FIRST, first, "right") - 1]
@@ -89,10 +148,10 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return rows[order], keys[order].astype(np.int64) % BUCKETS
 
 
-def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
-    """The best label of each word: scores are those of all texts' words one after another, lengths the words of each
-    text. All texts go forward together, one word of each at a time."""
-    n, m = scores.shape
+def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float, code: np.ndarray | None = None) -> np.ndarray:
+    """The best label of each word: scores are those of all texts' words one after another, or code says which of them
+    each word has; lengths are the words of each text. All texts go forward together, one word of each at a time."""
+    n, m = len(scores) if code is None else len(code), scores.shape[1]
     if not n or not m:
         return np.zeros(n, np.int64)
     order = np.argsort(-lengths, kind="stable")
@@ -101,20 +160,21 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     steps = int(length[0]) if len(length) else 0
     alive = np.searchsorted(-length, -np.arange(steps), "left")  # texts with more than t words
     stay = np.ones((n, m), bool)  # whether the best path to a label stays in it
-    jump = np.zeros(n, np.int64)  # else the label it comes from
+    jump = np.zeros(n, np.int32)  # else the label it comes from
     best = np.zeros((len(lengths), m), np.float32)
     for t in range(steps):
         k = int(alive[t])
         at = start[:k] + t
+        own = scores[at if code is None else code[at]]
         if t:
             now = best[:k]
             top = now.argmax(axis=1)
             other = now[np.arange(k), top][:, None] - np.float32(switch)
             keep = now >= other
             stay[at], jump[at] = keep, top
-            best[:k] = np.maximum(now, other) + scores[at]
+            best[:k] = np.maximum(now, other) + own
         else:
-            best[:k] = scores[at]
+            best[:k] = own
     out = np.zeros(n, np.int64)
     label = best.argmax(axis=1)
     for t in range(steps - 1, -1, -1):
@@ -125,22 +185,16 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     return out
 
 
-def spans(model: Model, texts: list[str | None], switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words of all texts: number of words of each text, label, letters, index of the distinct word, scores of the distinct words."""
-    words = [_WORD.findall(t) if t else [] for t in texts]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.array([w for x in words for w in x], dtype=object)
-    code, distinct = pd.factorize(flat) if len(flat) else (np.zeros(0, np.int64), np.zeros(0, object))
-    distinct = list(distinct)
-    table = model.score(distinct)
-    size = np.fromiter(map(len, distinct), np.int64, len(distinct))
-    label = viterbi(table[code], counts, switch)
-    return counts, label, size[code], code, table
+def spans(model: Model, texts: list[str | None], switch: float = SWITCH, known: Known | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of all texts: number of words of each text, label, letters. ``known`` serves texts that come one lot after another."""
+    known = Known(model) if known is None else known
+    counts, code = known.codes(texts)
+    return counts, viterbi(known.table, counts, switch, code), known.size[code]
 
 
-def predict(model: Model, texts: list[str | None], switch: float = SWITCH) -> tuple[list[str], np.ndarray]:
+def predict(model: Model, texts: list[str | None], switch: float = SWITCH, known: Known | None = None) -> tuple[list[str], np.ndarray]:
     """Language and score of each text: ``und`` and 0 without letters; the score is the share of letters in the language's spans."""
-    counts, label, size, _, _ = spans(model, texts, switch)
+    counts, label, size = spans(model, texts, switch, known)
     m = len(model.languages)
     row = np.repeat(np.arange(len(texts)), counts)
     mass = np.bincount(row * m + label, size, len(texts) * m).reshape(-1, m) if m else np.zeros((len(texts), 0))
@@ -183,15 +237,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 0, SLICE):
             for lang in pc.unique(part.column(1)).to_pylist():
-                texts = part.column(0).filter(pc.equal(part.column(1), lang)).to_pylist()
-                words = [w for t in texts if t for w in _WORD.findall(t)]
-                code, distinct = pd.factorize(np.array(words, dtype=object)) if words else (np.zeros(0, np.int64), [])
-                times = np.bincount(code, minlength=len(distinct))
+                met: Counter[str] = Counter()
+                for text in part.column(0).filter(pc.equal(part.column(1), lang)).to_pylist():
+                    for words in _words(text):
+                        met.update(words)
                 have = total.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
-                if len(distinct):
-                    rows, grams = _grams(list(distinct))
-                    have[:BUCKETS] += np.bincount(grams, times[rows], BUCKETS).astype(np.int64)
-                    have[BUCKETS:] += np.bincount(script_of(list(distinct)), times, len(SCRIPTS)).astype(np.int64)
+                distinct, times = list(met), np.fromiter(met.values(), np.int64, len(met))
+                for a, b in _lots(distinct):
+                    rows, grams = _grams(distinct[a:b])
+                    have[:BUCKETS] += np.bincount(grams, times[a:b][rows], BUCKETS).astype(np.int64)
+                    have[BUCKETS:] += np.bincount(script_of(distinct[a:b]), times[a:b], len(SCRIPTS)).astype(np.int64)
     for lang, have in total.items():
         at = np.flatnonzero(have)
         bucket = np.where(at < BUCKETS, at, BUCKETS - 1 - at).astype(np.int32)
@@ -204,9 +259,10 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers a language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(shared.value)
         for batch in batches:
             for part in slices(batch, 1, SLICE):
-                names, score = predict(shared.value, part.column(1).to_pylist(), switch)
+                names, score = predict(shared.value, part.column(1).to_pylist(), switch, known)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], names=["key", "lang_pred", "score"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, lang_pred string, score double")
@@ -218,9 +274,10 @@ def language_spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(shared.value)
         for batch in batches:
             for part in slices(batch, 1, SLICE):
-                counts, label, size, _, _ = spans(shared.value, part.column(1).to_pylist(), switch)
+                counts, label, size = spans(shared.value, part.column(1).to_pylist(), switch, known)
                 if not len(label) or not shared.value.languages:
                     continue
                 row = np.repeat(np.arange(len(counts)), counts)
@@ -241,9 +298,10 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(shared.value)
         for batch in batches:
             for part in slices(batch, place, SLICE):
-                names, score = predict(shared.value, part.column(place).to_pylist(), switch)
+                names, score = predict(shared.value, part.column(place).to_pylist(), switch, known)
                 yield part.filter(pa.array([n != "und" and s >= least for n, s in zip(names, score.tolist(), strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

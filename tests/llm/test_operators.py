@@ -262,6 +262,31 @@ def test_language(spark, docs, none):
     assert language_id.keep_identified(docs, language_id.fit(docs)).columns == docs.columns
 
 
+def test_language_bounds_memory(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    model = language_id.Model(["a", "b"], rng.normal(size=(language_id.BUCKETS, 2)).astype(np.float32), np.ones((len(language_id.SCRIPTS), 2), bool))
+    text = " ".join(map("".join, rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (100_000, 9)).tolist()))  # no word twice
+    tracemalloc.start()
+    whole = language_id.predict(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(text), peak / len(text)
+
+    texts = ["w" * 50, None, text[:3000], "", "eins zwei, drei 4 vier" * 9, text[3000:9000], " ", "w" * 50 + " " + text[:300]]
+    together = language_id.spans(model, texts)
+    monkeypatch.setattr(language_id, "PIECE", 7)
+    monkeypatch.setattr(language_id, "SCORED", 20)
+    monkeypatch.setattr(language_id, "KNOWN", 100)
+    assert [[w for x in language_id._words(t) for w in x] for t in texts] == [language_id._WORD.findall(t or "") for t in texts]
+    known = language_id.Known(model)
+    each = [language_id.spans(model, [t], known=known) for t in texts]
+    for i in range(3):
+        assert np.array_equal(np.concatenate([x[i] for x in each]), together[i])
+    assert language_id.predict(model, [text])[0] == whole[0] and language_id.predict(model, [text])[1].tolist() == whole[1].tolist()
+
+
 def test_viterbi_is_exact():
     for _ in range(30):
         n, m = int(RNG.integers(1, 7)), 3
