@@ -1,6 +1,6 @@
 """Rules that a package keeps. Each is a DataFrame of issues, so all books are tested at once: ``book_id, rule, severity, file, message``.
 
-XML goes through Python once, which lists what stands in it; the rules are joins and filters over that.
+XML goes through Python once, in lots, which lists what stands in it; the rules are joins and filters over that.
 """
 
 from __future__ import annotations
@@ -9,11 +9,12 @@ import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import batches, text
 
 MIMETYPE = "application/epub+zip"
 CONTAINER = "META-INF/container.xml"
@@ -27,28 +28,61 @@ def _issue(rows: DataFrame, rule: str, message: Column | str, file: Column | Non
     return rows.select("book_id", F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), (F.lit(None).cast("string") if file is None else file).alias("file"), message.alias("message"))
 
 
-def parse_xml(entries: DataFrame) -> DataFrame:
-    """``book_id, name, broken, nodes`` of each XML entry: why it can't be read, or its elements with their attributes, in order."""
+class _Nodes:
+    """Takes a parser's elements as columns, in the order of the document; no tree is kept."""
+
+    def __init__(self) -> None:
+        self.tags, self.spaces, self.keys, self.values = [], [], [], []
+        self.of_node, self.of_entry = [0], [0]  # where each one's attributes, and nodes, end
+
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        space, _, tag = tag[1:].partition("}") if tag.startswith("{") else ("", "", tag)
+        named = {k.rpartition("}")[2]: v for k, v in attributes.items()}
+        self.tags.append(tag)
+        self.spaces.append(space)
+        self.keys += named
+        self.values += named.values()
+        self.of_node.append(len(self.keys))
 
-    def one(content: bytes) -> tuple[str | None, list[dict]]:
+    def close(self) -> None:
+        """The target of a parser must have one."""
+
+    def read(self, content: bytes) -> str | None:
+        """Adds an entry; why it can't be read, if so, and then it has no nodes."""
         try:
-            out = []
-            for node in ET.fromstring(content).iter():
-                if not isinstance(node.tag, str):
-                    continue
-                space, _, tag = node.tag[1:].partition("}") if node.tag.startswith("{") else ("", "", node.tag)
-                out.append({"tag": tag, "space": space, "attributes": {k.rpartition("}")[2]: v for k, v in node.attrib.items()}})
-            return None, out
+            parser = ET.XMLParser(target=self)
+            parser.feed(content)
+            parser.close()
+            error = None
         except ET.ParseError as e:
-            return str(e), []
+            error, n = str(e), self.of_entry[-1]
+            del self.tags[n:], self.spaces[n:], self.of_node[n + 1 :], self.keys[self.of_node[n] :], self.values[self.of_node[n] :]
+        self.of_entry.append(len(self.tags))
+        return error
+
+    def column(self) -> pa.Array:
+        offsets = lambda x: pa.array(x, pa.int32())
+        words = lambda x: pa.array(x, pa.string())
+        attributes = pa.MapArray.from_arrays(offsets(self.of_node), words(self.keys), words(self.values))
+        return pa.ListArray.from_arrays(offsets(self.of_entry), pa.StructArray.from_arrays([words(self.tags), words(self.spaces), attributes], ["tag", "space", "attributes"]))
+
+
+def parse_xml(entries: DataFrame) -> DataFrame:
+    """``book_id, name, broken, nodes`` of each XML entry: why it can't be read, or its elements with their attributes, in order.
+
+    A worker holds the elements of a lot of entries at once, as columns."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [one(bytes(c)) for c in batch["content"]]
-            yield pd.DataFrame({"book_id": batch["book_id"], "name": batch["name"], "broken": [b for b, _ in found], "nodes": [n for _, n in found]})
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            content = batch.column("content")
+            for a, b in batches.lots(pc.binary_length(content).to_pylist()):
+                nodes = _Nodes()
+                broken = [nodes.read(x.as_py()) for x in content[a:b]]
+                yield pa.RecordBatch.from_arrays([batch.column("book_id")[a:b], batch.column("name")[a:b], pa.array(broken, pa.string()), nodes.column()], ["book_id", "name", "broken", "nodes"])
 
+    batches.bound_batches(entries.sparkSession)
     xml = entries.where(F.col("content").isNotNull() & F.lower("name").rlike(r"\.(xml|opf|xhtml|html|htm|ncx)$"))
-    return xml.select("book_id", "name", "content").mapInPandas(run, f"book_id {entries.schema['book_id'].dataType.simpleString()}, {PARSED}")
+    return xml.select("book_id", "name", "content").mapInArrow(run, f"book_id {entries.schema['book_id'].dataType.simpleString()}, {PARSED}")
 
 
 def resolve(base: Column, path: Column) -> Column:

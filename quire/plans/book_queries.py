@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import markup
+from ..functions import batches, markup
 from ..operators import adapter, normalize, quality, splitter, validate
 from ..sources import middle
 from .books import Conversion
@@ -100,6 +100,7 @@ def book_metrics(spark, sf_dir):
 @query()
 def html_tables(spark, sf_dir):
     """The first table of each page as XML that is safe to show; null without one."""
+    batches.bound_batches(spark)
     return read(spark, sf_dir, "pages").select("page_id", markup.sanitize_table("html").alias("markup"))
 
 

@@ -8,6 +8,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.batches import bound_batches
+
 
 @lru_cache(1)
 def _local_dir() -> str:
@@ -31,6 +33,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, folder: str | None = None, name: str = "job"):
         self.spark = spark
+        bound_batches(spark)
         if folder is None:
             shared = spark.conf.get("spark.checkpoint.dir", None)
             master = spark.sparkContext.master

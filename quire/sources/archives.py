@@ -9,7 +9,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import batches
+
 ENTRIES = "ord int, name string, method int, content binary, error string"
+#: What an entry counts for beside its content.
+ROW_BYTES = 200
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.epub") -> DataFrame:
@@ -35,11 +39,20 @@ def unpack(files: DataFrame) -> DataFrame:
         except Exception as e:
             yield book, -1, None, None, None, f"corrupt: {e}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["book_id"] + [c.split()[0] for c in ENTRIES.split(", ")]
-        for batch in batches:
+        frame = lambda lot: pd.DataFrame(lot, columns=names).astype({"ord": "Int32", "method": "Int32"})
+        for batch in found:
+            lot, held = [], 0  # entries of one archive or of several: LOT_BYTES and the last one at most
             for book, content in zip(batch["book_id"], batch["content"], strict=True):  # one archive at a time in memory
-                found = pd.DataFrame(list(rows(book, content)), columns=names)
-                yield found.astype({"ord": "Int32", "method": "Int32"})
-
+                for row in rows(book, content):
+                    lot.append(row)
+                    held += ROW_BYTES + len(row[4] or b"")
+                    if held >= batches.LOT_BYTES:
+                        yield frame(lot)
+                        lot, held = [], 0
+            if lot:
+                yield frame(lot)
+
+    batches.bound_batches(files.sparkSession)
     return files.select("book_id", "content").mapInPandas(run, f"book_id {files.schema['book_id'].dataType.simpleString()}, {ENTRIES}")

@@ -298,3 +298,40 @@ def test_stages(spark, tmp_path):
 def test_settings():
     with pytest.raises(Exception, match=r"\[settings\]"):
         Settings(most_chars=0)
+
+
+def test_python_holds_lots(spark, monkeypatch):
+    """What goes to Python at once is bounded by bytes: of many entries in a batch, and of many in one archive."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    import pyarrow as pa
+
+    body = b"<a>" + b"<b id='x'/>" * 20_000 + b"</a>"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as file:
+        for i in range(30):
+            file.writestr(f"{i}.xml", body)
+    whole = spark.createDataFrame([(7, out.getvalue())], "book_id long, content binary")
+    entries = archives.unpack(whole)
+    found = validate.parse_xml(entries).selectExpr("name", "broken", "size(nodes) as n").collect()
+    assert sorted((r.name, r.broken, r.n) for r in found) == sorted((f"{i}.xml", None, 20_001) for i in range(30))
+    for kind in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(whole), kind, lambda self, f, schema: f)
+    frames = list(archives.unpack(whole)(iter([pd.DataFrame({"book_id": [7], "content": [out.getvalue()]})])))
+    assert sum(map(len, frames)) == 30 and max(sum(map(len, f["content"])) for f in frames) < 2 << 20
+    rows = {"book_id": [7] * 30, "name": [f"{i}.xml" for i in range(30)], "content": [body] * 30}
+    parse = validate.parse_xml(entries)
+    try:
+        lots = [x.num_rows for x in parse(iter([pa.RecordBatch.from_pydict(rows)]))]
+    except TypeError:
+        lots = [len(x) for x in parse(iter([pd.DataFrame(rows)]))]
+    assert sum(lots) == 30 and max(lots) <= 5
+
+
+def test_lots():
+    from quire.functions import batches
+
+    assert list(batches.lots([])) == [] and list(batches.lots([9], 5)) == [(0, 1)]
+    assert list(batches.lots([1, 2, 3, 9, 0, 5, 5], 5)) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 7)]
